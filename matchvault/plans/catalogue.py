@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from matchvault.plans import warehouse  # noqa: F401
+from matchvault.plans import feature_queries, mart_queries, warehouse  # noqa: F401
 from matchvault.plans.registry import ORACLES, QUERIES  # noqa: F401
