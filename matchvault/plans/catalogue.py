@@ -1,4 +1,10 @@
 """All registered queries."""
 
-from matchvault.plans import feature_queries, mart_queries, warehouse  # noqa: F401
+from matchvault.plans import (  # noqa: F401
+    evaluation_queries,
+    feature_queries,
+    mart_queries,
+    serving_queries,
+    warehouse,
+)
 from matchvault.plans.registry import ORACLES, QUERIES  # noqa: F401
