@@ -1,5 +1,7 @@
 """Change capture between snapshots, upserts and deletes by key."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ def snapshot_delta(cur, prev, keys, compare, load_ts, batch_id, keys_unique=Fals
 
     A row counts as changed when its ``compare`` values are not among the values its key had before
     (NULL equals NULL). Gone rows are flagged ``"True"`` and stamped with the new load time. Without
-    a previous snapshot every row is emitted.
+    a previous snapshot every row is emitted. A NULL key equals no other: such a row of ``cur`` cannot
+    be matched and is left out, one of ``prev`` counts as gone.
 
     ``keys_unique=True`` promises one row per key in each snapshot and takes one full outer join.
     Otherwise keys may repeat: values are first reduced per key on the map side, so a key holding a
@@ -47,16 +50,18 @@ def snapshot_delta(cur, prev, keys, compare, load_ts, batch_id, keys_unique=Fals
 def _delta_by_join(cur, prev, keys, compare, load_ts, batch):
     c = cur.withColumn("_here", F.lit(True)).alias("c")
     p = prev.withColumn("_here", F.lit(True)).alias("p")
-    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
+    # Plain equality keeps a partitioning by key that an input already has.
+    on = [F.col(f"c.{k}") == F.col(f"p.{k}") for k in keys]
     gone = F.col("c._here").isNull()
     same = F.col("p._here").isNotNull()
+    keyed = reduce(lambda a, b: a & b, [F.col(f"c.{k}").isNotNull() for k in keys])
     for name in compare:
         same = same & F.col(f"c.{name}").eqNullSafe(F.col(f"p.{name}"))
     stamped = F.lit(load_ts).cast(cur.schema[LOADED].dataType)
     old = {n: F.col(f"p.{n}") for n in cur.columns} | {LOADED: stamped}
     return (
         c.join(p, on, "full_outer")
-        .filter(gone | ~same)
+        .filter(gone | (keyed & ~same))
         .select(
             *[F.when(gone, old[n]).otherwise(F.col(f"c.{n}")).alias(n) for n in cur.columns],
             F.when(gone, "True").otherwise("False").alias(DELETED),

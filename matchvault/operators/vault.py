@@ -74,30 +74,42 @@ def scd2_merge(sat, increment, key, attrs, prefer=()):
     whose attributes equal those of the row before belongs to the same version, an interval ends one
     second before the next starts. Batches are expected in time order: a closed row is not reopened.
     """
-    inc = increment.select(
-        key, *attrs, DELETED, F.col(LOADED).alias("effective_from"), SOURCE,
-        *[c for c in prefer if c not in (key, *attrs)],
-        data_hash(*attrs, DELETED).alias("_data_hash"),
-    )
-    inc = latest_per_key(inc, [key, "effective_from"], [*prefer, "_data_hash", SOURCE])
     columns = [key, *attrs, DELETED, "effective_from", SOURCE, "_data_hash"]
-    inc = inc.select(*columns)
+    batch = increment.select(
+        key,
+        *attrs,
+        DELETED,
+        F.col(LOADED).alias("effective_from"),
+        SOURCE,
+        data_hash(*attrs, DELETED).alias("_data_hash"),
+        *[F.col(c).alias(f"_prefer_{c}") for c in prefer],
+        F.lit(1).alias("_new"),
+    )
+    choose = ["_new", *[f"_prefer_{c}" for c in prefer], "_data_hash", SOURCE]
     if sat is None:
-        return _versions(inc, key, attrs)
-    keys = inc.select(key).distinct()
+        return _versions(batch, key, attrs, columns, choose)
+    keys = batch.select(key).distinct()
     is_open = sat.filter(F.col("is_active") == "True")
     kept = sat.filter(F.col("is_active") == "False").unionByName(
         is_open.join(keys, key, "left_anti")
     )
     touched = is_open.join(keys, key, "left_semi").select(*columns)
-    merged = _versions(touched.unionByName(inc), key, attrs)
+    merged = _versions(
+        batch.unionByName(touched, allowMissingColumns=True), key, attrs, columns, choose
+    )
     return kept.select(*merged.columns).unionByName(merged)
 
 
-def _versions(rows, key, attrs):
-    scan = ordered_scan(rows, [key], ["effective_from", "_data_hash"])
+def _versions(rows, key, attrs, columns, choose):
+    """Cut rows into versions. One exchange on the key serves all three windows."""
+    scan = ordered_scan(rows, [key], ["effective_from"])
+    one = scan.map(
+        lambda df: latest_per_key(
+            df.repartition(*scan.part), [*scan.part, "effective_from"], choose
+        ).select(*dict.fromkeys([*columns, *scan.part]))
+    )
     # Only the first row of a version matters: its attributes are those of all rows in it.
-    starts = scan.with_values(_before=previous("_data_hash")).map(
+    starts = one.with_values(_before=previous("_data_hash")).map(
         lambda df: df.filter(F.col("_before").isNull() | (F.col("_before") != F.col("_data_hash")))
     )
     ended = starts.with_values(_next=following("effective_from")).rows()
