@@ -67,12 +67,16 @@ class TableStore:
 
     def append(self, df, name, partition_by=()):
         """Add rows to the version in force, or start the table."""
-        number = self._current(name) or 1
+        number = self._current(name)
+        if number is None:
+            return self.overwrite(df, name, partition_by)
         return self._write(df, f"{self._folder(name)}/v={number}", "append", partition_by)
 
     def replace_partitions(self, df, name, partition_by):
         """Replace only the partitions that ``df`` holds, so a rerun of a batch adds nothing twice."""
-        number = self._current(name) or 1
+        number = self._current(name)
+        if number is None:
+            return self.overwrite(df, name, partition_by)
         return self._write(
             df, f"{self._folder(name)}/v={number}", "overwrite", partition_by,
             partitionOverwriteMode="dynamic",
