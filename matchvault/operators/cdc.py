@@ -29,18 +29,20 @@ def snapshot_delta(cur, prev, keys, compare, load_ts, batch_id, keys_unique=Fals
         return _delta_by_join(cur, prev, keys, compare, load_ts, batch)
 
     side = lambda df, name: df.select(*keys, *compare, F.lit(name).alias("_side"))
-    changed_keys = (
+    only_now = (F.col("_first") == 1) & (F.col("_last") == 1)
+    status = (
         side(cur, 1)
         .unionByName(side(prev, 2))
         .groupBy(*keys, *compare)
         .agg(F.min("_side").alias("_first"), F.max("_side").alias("_last"))
-        .filter((F.col("_first") == 1) & (F.col("_last") == 1))
-        .select(*keys)
-        .distinct()
+        .groupBy(*keys)
+        .agg(F.max(only_now).alias("_changed"), F.min("_first").alias("_first"))
+    )
+    changed = cur.join(status.filter("_changed"), list(keys), "left_semi").withColumn(
+        DELETED, F.lit("False")
     )
-    changed = cur.join(changed_keys, list(keys), "left_semi").withColumn(DELETED, F.lit("False"))
     gone = (
-        prev.join(cur.select(*keys).distinct(), list(keys), "left_anti")
+        prev.join(status.filter("_first = 1"), list(keys), "left_anti")
         .withColumn(LOADED, F.lit(load_ts).cast(cur.schema[LOADED].dataType))
         .withColumn(DELETED, F.lit("True"))
     )

@@ -43,14 +43,14 @@ def road_form(games, order, team="visiting_team_code", season="season", label="h
 def overall_form(games, match_key, order, season="season", label="home_team_winner"):
     """Form over home and road games together, for both sides of each game.
 
-    Every game becomes two narrow rows, one scan per (team, season) numbers them, and the two rows
-    are folded back by match key, so two games of a team on one day do not multiply.
+    Every game becomes two rows, one scan per (team, season) numbers them, and the two rows are folded
+    back by match key: two games of a team on one day do not multiply, and the games are read once.
     """
     side = lambda flag, team, win: F.struct(
         F.lit(flag).alias("_side"), F.col(team).alias("_team"), win.alias("_win")
     )
     sides = games.select(
-        *dict.fromkeys([*match_key, season, *order]),
+        "*",
         F.inline(
             F.array(
                 side("h", "home_team_code", F.col(label)),
@@ -63,16 +63,17 @@ def overall_form(games, match_key, order, season="season", label="home_team_winn
     formed = scan.with_values(_games=sum_before(played), _wins=sum_before("_win")).rows()
     at = lambda flag, c: F.max(F.when(F.col("_side") == flag, F.col(c)))
     folded = formed.groupBy(*match_key).agg(
+        *[F.first(c).alias(c) for c in games.columns if c not in match_key],  # equal on both rows
         *[
             at(s, c).alias(f"{s}_{name}_cumsum")
             for s in "hv"
             for c, name in (("_games", "games_played"), ("_wins", "wins"))
-        ]
+        ],
     )
     for s in "hv":
         share = F.try_divide(F.col(f"{s}_wins_cumsum"), F.col(f"{s}_games_played_cumsum"))
         folded = folded.withColumn(f"{s}_wins_pctg_cumsum", share)
-    return games.join(folded, list(match_key), "inner")
+    return folded.select(*games.columns, *[c for c in folded.columns if c not in games.columns])
 
 
 def fill_from(df, sources):

@@ -50,8 +50,8 @@ def pairings(spark, sf_dir):
     )
 
 
-def matches(spark, sf_dir):
-    games = pairings(spark, sf_dir).select(
+def unnamed_matches(spark, sf_dir):
+    return pairings(spark, sf_dir).select(
         F.concat_ws("-", *MATCH_KEY).alias("game_source_id"),
         *MATCH_KEY,
         (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias(
@@ -65,8 +65,11 @@ def matches(spark, sf_dir):
         (F.col("l_quantity").cast("int") % 7).alias("home_score"),
         (F.col("l_linenumber") % 5).alias("visiting_score"),
     )
+
+
+def matches(spark, sf_dir):
     return marts.role_join(
-        games,
+        unnamed_matches(spark, sf_dir),
         table(spark, sf_dir, "nation"),
         "n_nationkey",
         {
@@ -78,7 +81,7 @@ def matches(spark, sf_dir):
 
 def labelled(spark, sf_dir):
     """Matches with the label NULL where no goal was scored, which here means not played."""
-    return marts.label_games(matches(spark, sf_dir), unplayed_as_null=True)
+    return marts.label_games(unnamed_matches(spark, sf_dir), unplayed_as_null=True)
 
 
 LABELLED_SQL = (
