@@ -47,7 +47,7 @@ def overall_form(games, match_key, order, season="season", label="home_team_winn
     back by match key: two games of a team on one day do not multiply, and the games are read once.
     """
     side = lambda flag, team, win: F.struct(
-        F.lit(flag).alias("_side"), F.col(team).alias("_team"), win.alias("_win")
+        F.lit(flag).alias("_side"), F.col(team).alias("_side_team"), win.alias("_side_win")
     )
     sides = games.select(
         "*",
@@ -58,16 +58,16 @@ def overall_form(games, match_key, order, season="season", label="home_team_winn
             )
         ),
     )
-    scan = ordered_scan(sides, ["_team", season], [*order, "_side"])
-    played = F.col("_win").isNotNull().cast("long")
-    formed = scan.with_values(_games=sum_before(played), _wins=sum_before("_win")).rows()
+    scan = ordered_scan(sides, ["_side_team", season], [*order, "_side"])
+    played = F.col("_side_win").isNotNull().cast("long")
+    formed = scan.with_values(_side_games=sum_before(played), _side_wins=sum_before("_side_win")).rows()
     at = lambda flag, c: F.max(F.when(F.col("_side") == flag, F.col(c)))
     folded = formed.groupBy(*match_key).agg(
         *[F.first(c).alias(c) for c in games.columns if c not in match_key],  # equal on both rows
         *[
             at(s, c).alias(f"{s}_{name}_cumsum")
             for s in "hv"
-            for c, name in (("_games", "games_played"), ("_wins", "wins"))
+            for c, name in (("_side_games", "games_played"), ("_side_wins", "wins"))
         ],
     )
     for s in "hv":

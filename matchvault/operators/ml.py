@@ -1,5 +1,6 @@
 """Win-probability models on Spark ML: preprocessing, three classifiers, scoring, predictions."""
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -66,7 +67,18 @@ def boosted_trees(label="label", rounds=20, step=0.1):
 
 
 def fit(train, numeric, categorical, classifier):
-    return Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(train)
+    """Fitted pipeline; ``classifier`` may be a function of the number of training rows.
+
+    Each stage is a pass over the training rows, so they are kept once (spilling to disk) and a lost
+    part is computed again.
+    """
+    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if callable(classifier):
+            classifier = classifier(kept.count())
+        return Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def score(model, df, threshold=PRODUCTION_THRESHOLD):

@@ -172,37 +172,37 @@ def model_rows(spark, sf_dir):
     )
 
 
-def trained(spark, sf_dir, make):
-    """``(model, train, test)``; the classifier may depend on the number of training rows."""
+def trained(spark, sf_dir, classifier):
+    """``(model, test rows)``."""
     rows = model_rows(spark, sf_dir)
     train, test = features.split_by_date(rows, "game_date", CUTOFF)
-    return ml.fit(train, NUMERIC, CATEGORICAL, make(train)), train, test
+    return ml.fit(train, NUMERIC, CATEGORICAL, classifier), test
 
 
-def _scores(spark, sf_dir, make):
-    model, _, test = trained(spark, sf_dir, make)
+def _scores(spark, sf_dir, classifier):
+    model, test = trained(spark, sf_dir, classifier)
     scored = ml.score(model, test).select("game_source_id", "game_date", "label", "score", "y_pred")
     return iso_dates(scored)
 
 
 @query("train_logistic")
 def train_logistic(spark, sf_dir):
-    return _scores(spark, sf_dir, lambda train: ml.logistic(train.count()))
+    return _scores(spark, sf_dir, ml.logistic)
 
 
 @query("train_svm")
 def train_svm(spark, sf_dir):
-    return _scores(spark, sf_dir, lambda train: ml.svm())
+    return _scores(spark, sf_dir, ml.svm())
 
 
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
-    return _scores(spark, sf_dir, lambda train: ml.boosted_trees(rounds=5))
+    return _scores(spark, sf_dir, ml.boosted_trees(rounds=5))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    model, _, _ = trained(spark, sf_dir, lambda train: ml.boosted_trees(rounds=5))
+    model, _ = trained(spark, sf_dir, ml.boosted_trees(rounds=5))
     return ml.top_features(ml.feature_importance(model, NUMERIC, CATEGORICAL, spark))
 
 

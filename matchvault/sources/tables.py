@@ -5,7 +5,6 @@ readers take the newest version that has Spark's ``_SUCCESS`` marker, so ``new =
 replace one table, and a failed or lost job leaves the old version in force.
 """
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 
@@ -60,35 +59,54 @@ class TableStore:
     def read_or_none(self, name):
         return self.read(name) if self.exists(name) else None
 
+    def count(self, name):
+        """Rows of the table, read from file footers only."""
+        return self.read(name).count()
+
     def overwrite(self, df, name, partition_by=()):
-        """Replace the table and return the number of rows, counted while they are written."""
+        """Write the next version of the table."""
         number = max(self._versions(name), default=0) + 1
-        return self._write(df, f"{self._folder(name)}/v={number}", "errorifexists", partition_by)
+        self._write(df, f"{self._folder(name)}/v={number}", "errorifexists", partition_by)
 
     def append(self, df, name, partition_by=()):
         """Add rows to the version in force, or start the table."""
         number = self._current(name)
         if number is None:
-            return self.overwrite(df, name, partition_by)
-        return self._write(df, f"{self._folder(name)}/v={number}", "append", partition_by)
+            self.overwrite(df, name, partition_by)
+            return
+        self._write(df, f"{self._folder(name)}/v={number}", "append", partition_by)
 
     def replace_partitions(self, df, name, partition_by):
         """Replace only the partitions that ``df`` holds, so a rerun of a batch adds nothing twice."""
         number = self._current(name)
         if number is None:
-            return self.overwrite(df, name, partition_by)
-        return self._write(
+            self.overwrite(df, name, partition_by)
+            return
+        self._write(
             df, f"{self._folder(name)}/v={number}", "overwrite", partition_by,
             partitionOverwriteMode="dynamic",
         )
 
     def _write(self, df, path, mode, partition_by, **options):
-        seen = Observation()
-        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**options)
+        out = df.write.mode(mode).options(**options)
         if partition_by:
             out = out.partitionBy(*partition_by)
         out.parquet(path)
-        return seen.get["rows"]
+
+    def save_model(self, model, name):
+        """Keep a fitted pipeline; the newest complete one is loaded."""
+        number = max(self._versions(name), default=0) + 1
+        model.write().save(f"{self._folder(name)}/v={number}")
+        fs, marker = self._fs(f"{self._folder(name)}/v={number}/_SUCCESS")
+        fs.create(marker, True).close()
+
+    def load_model(self, name):
+        from pyspark.ml import PipelineModel
+
+        number = self._current(name)
+        if number is None:
+            raise LookupError(f"no such model: {name}")
+        return PipelineModel.load(f"{self._folder(name)}/v={number}")
 
     def drop_old_versions(self, name, keep=2):
         """Delete versions older than the last ``keep`` complete ones."""
@@ -117,10 +135,9 @@ def stamp(df, load_ts, source):
 def write_snapshot(store, df, name, ds, load_ts, source):
     """Keep the full extract of a day and log the load; a rerun of the day replaces it."""
     dated = stamp(df, load_ts, source).withColumn(SNAPSHOT, F.lit(ds).cast("date"))
-    rows = store.replace_partitions(dated, name, [SNAPSHOT])
+    store.replace_partitions(dated, name, [SNAPSHOT])
     line = store.spark.createDataFrame([(name, str(load_ts))], "table_name string, ts string")
     store.append(line.select("table_name", F.col("ts").cast("timestamp_ntz").alias("updated_at")), LOG)
-    return rows
 
 
 def read_snapshot(store, name, ds):
