@@ -14,7 +14,7 @@ def spark():
         "local[8]",
         "matchvault-tests",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
         },
