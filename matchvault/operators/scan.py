@@ -8,8 +8,8 @@ chunk. The result is the same row for row; only the work per task is bounded.
 
 Sizes: at most ``MAX_HOT`` keys are split, the largest ones, so a key left whole holds at most
 ``1 / MAX_HOT`` of all rows. All split keys together get about ``MAX_CHUNKS`` chunks. Cut points and
-carried summaries therefore have at most ``MAX_HOT + MAX_CHUNKS`` rows at any data size, which is why
-both may be broadcast.
+carried summaries therefore have at most ``MAX_HOT + MAX_CHUNKS`` rows at any data size (rounding up
+adds less than one chunk per hot key), which is why both may be broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 ROWS_PER_CHUNK_CONF = "matchvault.scan.rowsPerChunk"
 ROWS_PER_CHUNK = 2_000_000
 MAX_HOT = 4096
-MAX_CHUNKS = 8192
+MAX_CHUNKS = 16384
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_chunk"
@@ -179,7 +179,8 @@ class OrderedScan:
 def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan:
     """Prepare ``df`` for scans per ``keys`` in ascending ``order``.
 
-    ``order`` should be a total order within a key: rows that tie on all of it stay in one chunk.
+    ``order`` should be a total order within a key: rows that tie on all of it stay in one chunk, so
+    copies of a row are to be reduced first (``latest_per_key`` does so before the shuffle).
     Runs one counting job (pre-aggregated per key on the map side), and a sampling job for cut points
     only if some key is too large for a task.
     """

@@ -52,17 +52,21 @@ def without_null_keys(df, keys):
     return df.dropna(subset=list(keys))
 
 
-def hub_load(hub, batch, key, attrs):
-    """Insert-only hub: keys not seen before, with their earliest load time and its source."""
+def hub_new(hub, batch, key, attrs):
+    """Keys of the batch the hub does not have, with their earliest load time and its source."""
     first = F.min(F.struct(LOADED, SOURCE, *attrs)).alias("_first")
     new = (
         batch.groupBy(key)
         .agg(first)
         .select(key, *[F.col(f"_first.{c}").alias(c) for c in (*attrs, LOADED, SOURCE)])
     )
-    if hub is None:
-        return new
-    return new.join(hub.select(key), key, "left_anti").unionByName(hub.select(*new.columns))
+    return new if hub is None else new.join(hub.select(key), key, "left_anti")
+
+
+def hub_load(hub, batch, key, attrs):
+    """Insert-only hub: the hub and the new keys of the batch."""
+    new = hub_new(hub, batch, key, attrs)
+    return new if hub is None else hub.select(*new.columns).unionByName(new)
 
 
 def scd2_merge(sat, increment, key, attrs, prefer=()):
@@ -103,6 +107,11 @@ def scd2_merge(sat, increment, key, attrs, prefer=()):
 def _versions(rows, key, attrs, columns, choose):
     """Cut rows into versions. One exchange on the key serves all three windows."""
     scan = ordered_scan(rows, [key], ["effective_from"])
+    if scan.split:
+        # A large key may be many copies of one moment, which no cut divides: reduce them to one row
+        # per task before they are brought together.
+        rows = latest_per_key(rows, [key, "effective_from"], choose)
+        scan = ordered_scan(rows, [key], ["effective_from"])
     one = scan.map(
         lambda df: latest_per_key(
             df.repartition(*scan.part), [*scan.part, "effective_from"], choose

@@ -199,19 +199,41 @@ def batch_of(store, extract, ds):
 
 
 def _load_hub(store, name, batch, key, attrs):
-    hub = store.read_or_none(f"detailed.{name}")
-    store.overwrite(vault.hub_load(hub, batch, key, attrs), f"detailed.{name}")
+    """Append the new keys; what is in the hub is never rewritten."""
+    table = f"detailed.{name}"
+    store.append(vault.hub_new(store.read_or_none(table), batch, key, attrs), table)
 
 
-def _load_satellite(store, name, batch, key, attrs, prefer=()):
-    sat = store.read_or_none(f"detailed.{name}")
-    store.overwrite(vault.scd2_merge(sat, batch, key, attrs, prefer), f"detailed.{name}")
+def _load_satellite(store, name, batch, key, attrs, ds, prefer=()):
+    """Merge into the open versions; versions that close are kept under the batch that closed them.
+
+    Closed history is neither read nor rewritten. It is written first, so a job lost in between is
+    repaired by running the day again: the same versions close and replace themselves.
+    """
+    merged = vault.scd2_merge(
+        store.read_or_none(f"detailed.{name}_open"), batch, key, attrs, prefer
+    )
+    closed = merged.filter(F.col("is_active") == "False").withColumn(BATCH, F.lit(ds))
+    store.replace_partitions(closed, f"detailed.{name}_closed", [BATCH])
+    store.overwrite(merged.filter(F.col("is_active") == "True"), f"detailed.{name}_open")
+
+
+def satellite(store, name):
+    """All versions of a satellite."""
+    now_open = store.read(f"detailed.{name}_open")
+    closed = store.read(f"detailed.{name}_closed", now_open.schema)  # may hold no file yet
+    return now_open.unionByName(closed.select(*now_open.columns))
+
+
+def open_versions(store, name):
+    """Versions of a satellite in force."""
+    return store.read(f"detailed.{name}_open")
 
 
 def _load_history(store, entity, key, sat, attrs, hub_cols):
     """PIT table and history view of an entity with one satellite."""
     hub = store.read(f"detailed.hub_{entity}")
-    rows = store.read(f"detailed.{sat}")
+    rows = satellite(store, sat)
     store.overwrite(vault.pit(key, {sat.removeprefix("sat_"): rows}), f"common.pit_{entity}")
     view = vault.dimension(
         hub, store.read(f"common.pit_{entity}"), key, {sat.removeprefix("sat_"): (rows, attrs)}, hub_cols
@@ -237,7 +259,7 @@ def load_games(store, ds):
         df = df.withColumn(f"{side}_team_id", hash_key(f"{side}_team_source_id", "_source"))
     batch = _operational(store, GAMES, ds, df)
     _load_hub(store, "hub_games", batch, "game_id", ["game_business_id", "game_source_id"])
-    _load_satellite(store, "sat_games", batch, "game_id", GAME_ATTRS)
+    _load_satellite(store, "sat_games", batch, "game_id", GAME_ATTRS, ds)
     keys = ["game_id", "home_team_id", "visiting_team_id"]
     all_batches = store.read("operational.games").select("game_date", *keys, cdc.LOADED)
     store.overwrite(vault.link_latest(all_batches, keys, [cdc.LOADED, "game_date"]), "detailed.tl_teams_games")
@@ -251,7 +273,7 @@ def load_players(store, ds):
     batch = _operational(store, ROSTER, ds, _team_key(store, df, "team_business_id", "team_id"))
     _load_hub(store, "hub_players", batch, "player_id", ["player_business_id", "player_source_id"])
     named = batch.withColumn("team_tri_code", F.col("team_business_id"))
-    _load_satellite(store, "sat_players", named, "player_id", PLAYER_ATTRS)
+    _load_satellite(store, "sat_players", named, "player_id", PLAYER_ATTRS, ds)
     _load_history(
         store, "players", "player_id", "sat_players",
         [*PLAYER_ATTRS[1:], cdc.DELETED], ["player_source_id"],
@@ -264,7 +286,7 @@ def load_standings(store, ds):
     batch = _operational(store, STANDINGS, ds, _team_key(store, df, "team_business_id", "team_id"))
     known = vault.without_null_keys(batch, ["team_id"])
     # One load carries two weeks of days; the newest day names the team.
-    _load_satellite(store, "sat_teams_core", known, "team_id", TEAM_ATTRS, prefer=["date"])
+    _load_satellite(store, "sat_teams_core", known, "team_id", TEAM_ATTRS, ds, prefer=["date"])
     rows = marts.without(store.read("operational.teams_stat"), TEAM_ATTRS)
     store.overwrite(
         vault.link_latest(rows, ["team_id", "date"], [cdc.LOADED]), "detailed.tl_teams_stat"
@@ -294,7 +316,7 @@ def load_all(store, ds):
 
 
 def standings_mart(store):
-    names = vault.current(store.read("detailed.sat_teams_core")).select(
+    names = open_versions(store, "sat_teams_core").select(
         "team_id", "team_name", "conference_name", "division_name"
     )
     return marts.standings_wide(store.read("detailed.tl_teams_stat"), names, "team_id")

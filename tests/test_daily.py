@@ -151,8 +151,11 @@ def test_histories(store):
 
 
 def test_rerun_of_a_day_changes_nothing(spark, store):
-    names = ["detailed.hub_games", "detailed.sat_games", "detailed.sat_players", "detailed.tl_teams_stat",
-             "detailed.tl_players_games_stat", "common.dm_games", "common.dm_teams"]
+    names = [
+        "detailed.hub_games", "detailed.sat_games_open", "detailed.sat_games_closed",
+        "detailed.sat_players_closed", "detailed.tl_teams_stat", "detailed.tl_players_games_stat",
+        "common.dm_games", "common.dm_teams",
+    ]
     before = {n: rows(store.read(n)) for n in names}
     daily.load_all(store, DAYS[-1])
     for n in names:

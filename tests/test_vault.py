@@ -113,6 +113,14 @@ def test_hot_key_versions(spark, small_chunks):
     check_intervals(got)
 
 
+def test_copies_of_one_moment_are_reduced_before_the_shuffle(spark, small_chunks):
+    data = [(1, "x", day(1))] * 300 + [(1, "y", day(2))] + [(2, "x", day(1))]
+    got = vault.scd2_merge(None, live(spark, data), "k", ["a"])
+    assert rows(got, "k", "a", "is_active") == [(1, "x", "False"), (1, "y", "True"), (2, "x", "True")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 1, Partial" in plan
+
+
 def test_hub_keeps_earliest_and_never_moves(spark):
     data = [(1, "b", day(3)), (1, "a", day(2)), (2, "c", day(2))]
     hub = vault.hub_load(None, live(spark, data), "k", [])
