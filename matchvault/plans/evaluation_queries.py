@@ -206,6 +206,31 @@ def feature_importance(spark, sf_dir):
     return ml.top_features(ml.feature_importance(model, NUMERIC, CATEGORICAL, spark))
 
 
+@query("model_comparison")
+def model_comparison(spark, sf_dir):
+    """Hold-out metrics of each model at its threshold next to the random baseline, best first."""
+    rows = model_rows(spark, sf_dir)
+    train, test = features.split_by_date(rows, "game_date", CUTOFF)
+    called = {"Baseline - Random": (evaluate.random_guess(test, "game_source_id"), None)}
+    for name, classifier, threshold in (
+        ("Logistic Regression", ml.logistic, 0.5),
+        ("Boosted Trees", ml.boosted_trees(rounds=3), 0.52),
+    ):
+        model = ml.fit(train, NUMERIC, CATEGORICAL, classifier)
+        called[name] = (ml.score(model, test, threshold), threshold)
+    union = reduce(
+        lambda a, b: a.unionByName(b),
+        [
+            df.select(
+                F.lit(name).alias("model"), F.lit(cut).cast("double").alias("threshold"),
+                F.col("label").cast("int").alias("y"), "y_pred",
+            )
+            for name, (df, cut) in called.items()
+        ],
+    )
+    return evaluate.leaderboard(evaluate.classifier_metrics(union, by=["model", "threshold"]))
+
+
 @query(
     "merge_predictions",
     "WITH"

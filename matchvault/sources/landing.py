@@ -25,6 +25,11 @@ def land_groups(payloads, arrays, tags=()):
     return payloads.select(*tags, F.inline(joined))
 
 
+def request_keys(hub, key):
+    """Keys to ask the source for; they stay a frame to be joined, not a list to loop over."""
+    return hub.select(key).distinct()
+
+
 def look_back(payloads, date, ds, days=14):
     """Payloads of the ``days`` dates that end with ``ds``."""
     day = F.lit(ds).cast("date")

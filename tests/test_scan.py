@@ -32,7 +32,8 @@ def data(size, seed):
     out = []
     for i in range(size):
         key = 1 if i % 3 == 0 else None if i % 7 == 0 else rnd.randrange(2, 40)
-        out.append((key, rnd.randrange(size // 4), i, None if rnd.random() < 0.4 else rnd.randrange(9)))
+        t = None if i % 11 == 0 else rnd.randrange(size // 4)
+        out.append((key, t, i, None if rnd.random() < 0.4 else rnd.randrange(9)))
     rnd.shuffle(out)
     return out
 
@@ -43,7 +44,7 @@ def brute(raw, keyed):
         groups.setdefault(r[0] if keyed else 0, []).append(r)
     out = []
     for group in groups.values():
-        group.sort(key=lambda r: r[1:3])
+        group.sort(key=lambda r: (r[1] is not None, r[1], r[2]) if r[1] is not None else (False, 0, r[2]))
         vs = [r[3] for r in group]
         for i, r in enumerate(group):
             out.append(
