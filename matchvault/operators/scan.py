@@ -15,6 +15,7 @@ adds less than one chunk per hot key), which is why both may be broadcast.
 from __future__ import annotations
 
 import math
+import tempfile
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +29,7 @@ MAX_CHUNKS = 16384
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_chunk"
+TIE = "_tie"
 _CUTS = "_cuts"
 
 
@@ -141,10 +143,11 @@ class OrderedScan:
 
     def map(self, fn) -> "OrderedScan":
         """The same cut over derived rows; ``fn`` must keep the key, order and part columns."""
-        return replace(self, df=fn(self.df))
+        df = fn(self.df)
+        return replace(self, df=df, order=tuple(o for o in self.order if o != TIE or o in df.columns))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(CHUNK)
+        return self.df.drop(CHUNK, TIE)
 
     def with_values(self, **values: Value) -> "OrderedScan":
         """Add one column per value."""
@@ -179,8 +182,8 @@ class OrderedScan:
 def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan:
     """Prepare ``df`` for scans per ``keys`` in ascending ``order``.
 
-    ``order`` should be a total order within a key: rows that tie on all of it stay in one chunk, so
-    copies of a row are to be reduced first (``latest_per_key`` does so before the shuffle).
+    ``order`` should be a total order within a key. Rows that tie on all of it may come in any order,
+    as in a window; more of them than a task should hold are divided too, at the price of a checkpoint.
     Runs one counting job (pre-aggregated per key on the map side), and a sampling job for cut points
     only if some key is too large for a task.
     """
@@ -197,8 +200,14 @@ def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan
     )
     if not hot:
         return OrderedScan(df, keys, order, split=False)
-    fields = [T.StructField(o, df.schema[o].dataType) for o in order]
     cuts = _cut_points(df, keys, order, hot, limit)
+    if any(a == b for row in cuts for a, b in zip(row[_CUTS], row[_CUTS][1:])):
+        # Copies of one moment fill more than a chunk. Number the rows so that they can be divided,
+        # and write the numbers down: all uses have to see the same ones.
+        df = _written(df.withColumn(TIE, F.monotonically_increasing_id()))
+        order = (*order, TIE)
+        cuts = _cut_points(df, keys, order, hot, limit)
+    fields = [T.StructField(o, df.schema[o].dataType) for o in order]
     if keys:
         key_fields = [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
         cut_field = T.StructField(_CUTS, T.ArrayType(T.StructType(fields)))
@@ -218,6 +227,20 @@ def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan
     return OrderedScan(tagged.select(*df.columns, CHUNK), keys, order, split=True)
 
 
+def _written(df):
+    """``df`` cut off from its lineage by a checkpoint in the folder the cluster shares."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def _cut_points(df, keys, order, hot, limit):
     """One row per hot key with its sorted cut points, held on the driver so all uses agree."""
     target = max(limit, math.ceil(sum(r["_rows"] for r in hot) / MAX_CHUNKS))

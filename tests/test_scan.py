@@ -80,6 +80,16 @@ def test_hot_key_is_split_into_bounded_chunks(spark):
     assert whole > 10  # small keys stay whole
 
 
+@pytest.mark.parametrize("keyed", [True, False])
+def test_copies_of_one_row_are_divided(spark, keyed):
+    raw = [(1, 5, 0, 2)] * 600 + data(300, 8)
+    df = spark.createDataFrame(raw, "k int, t int, id int, v int").repartition(6)
+    scan = ordered_scan(df, ["k"] if keyed else [], ["t", "id"], rows_per_chunk=50)
+    assert rows(scan.with_values(**wanted()).rows()) == brute(raw, keyed)
+    sizes = scan.df.groupBy(*(["k"] if keyed else []), "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 150
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int, t int, v int")
     assert rows(ordered_scan(df, ["k"], ["t"]).with_values(n=sum_before("v")).rows()) == []
