@@ -124,12 +124,19 @@ def join_fill(left, right, keys, fill=0):
     return left.join(right, list(keys), "inner").fillna(fill)
 
 
+def _mean(df, c):
+    """Mean of a column; decimals are summed exactly, so that the order of rows does not matter."""
+    if isinstance(df.schema[c].dataType, T.DecimalType):
+        return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
+    return F.avg(c)
+
+
 def mean_impute(df, keys, cols):
     """Fill gaps with the mean of the row's group.
 
     Group means are aggregated with map-side reduction and joined back, so no task holds a group.
     """
-    means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
+    means = df.groupBy(*keys).agg(*[_mean(df, c).alias(f"_m_{c}") for c in cols])
     out = _null_safe_join(df, means, keys)
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in cols}).drop(
         *[f"_m_{c}" for c in cols]

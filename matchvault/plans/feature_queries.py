@@ -220,20 +220,18 @@ o AS (SELECT user_id, event_type AS mode FROM (
         SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id
                                                        ORDER BY count(*) DESC, event_type) rn
         FROM r WHERE event_type IS NOT NULL GROUP BY user_id, event_type) WHERE rn = 1)
-SELECT event_id, user_id, round(coalesce(value, mean), 4) AS value,
+SELECT event_id, user_id, coalesce(value, mean) AS value,
        coalesce(event_type, mode) AS event_type
 FROM r LEFT JOIN m USING (user_id) LEFT JOIN o USING (user_id)""",
 )
 def group_impute(spark, sf_dir):
+    reading = F.when(F.col("event_type") != "error", F.col("value")).cast("decimal(18,2)")
     rows = table(spark, sf_dir, "events").select(
-        "event_id", "user_id",
-        F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
+        "event_id", "user_id", reading.alias("value"),
         F.when(F.col("value") <= 100, F.col("event_type")).alias("event_type"),
     )
     filled = features.mean_impute(rows, ["user_id"], ["value"])
-    return features.mode_impute(filled, ["user_id"], ["event_type"]).withColumn(
-        "value", F.round("value", 4)
-    )
+    return features.mode_impute(filled, ["user_id"], ["event_type"])
 
 
 DIRTY_SQL = """
