@@ -16,7 +16,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-# Queries that go through an ordered scan; run again with every key split.
+# Queries that go through an ordered scan; run again with keys of more than 40 rows split.
 SCANNED = [
     "home_form", "road_form", "overall_form", "gap_fill", "quartiles_by_class", "roc_curve",
     "pr_curve", "auc_score", "scd2_satellite", "scd2_incremental", "pit_table", "temporal_tail_split",
@@ -69,7 +69,7 @@ def test_query(spark, duck, name):
 
 @pytest.mark.parametrize("name", SCANNED)
 def test_query_with_split_keys(spark, duck, name):
-    spark.conf.set(ROWS_PER_CHUNK_CONF, "200")
+    spark.conf.set(ROWS_PER_CHUNK_CONF, "40")
     try:
         check(spark, duck, name)
     finally:
