@@ -113,10 +113,9 @@ def _ordered_keys(hashes, order, tokens, classes):
     return key
 
 
-def _prefixes(width, percent, shared, orders, whole):
-    """One row per node met in the task's share: its prefixes under ``orders`` and, if asked for, its whole set."""
-    names = ["node", "n", *(f"p{k}" for k in orders), *(["tokens"] if whole else [])]
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), *((c, pa.list_(pa.int64())) for c in names[2:])])
+def _ordered(width, percent, shared, order, whole):
+    """One row per node met in the task's share: its prefix under ``order``, or its whole set, in that order."""
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
         tokens, classes, wanted = shared.value
@@ -133,23 +132,22 @@ def _prefixes(width, percent, shared, orders, whole):
                 if not len(one):
                     continue
                 met = np.concatenate([met, node[one]])
-                out = {c: [] for c in names[2:]}
-                take = sizes[one] - -(-percent * sizes[one] // 100) + 1
-                keys = {k: _ordered_keys(hashes, k, tokens, classes) for k in orders}
+                key = _ordered_keys(hashes, order, tokens, classes)
+                take = sizes[one] if whole else _prefix_length(sizes[one], percent)
+                parts = []
                 for t, p in zip(one, take, strict=True):
-                    low, high = first[t], first[t + 1]
-                    for k in orders:
-                        part = keys[k][low:high]
-                        out[f"p{k}"].append(np.sort(np.partition(part, p - 1)[:p]))
-                    if whole:
-                        out["tokens"].append(hashes[low:high])
+                    part = key[first[t] : first[t + 1]]
+                    parts.append(np.sort(part if whole else np.partition(part, p - 1)[:p]))
                 arrays = [pa.array(node[one]), pa.array(sizes[one].astype(np.int32))]
-                for c in names[2:]:
-                    lengths = np.array([0, *map(len, out[c])])
-                    arrays.append(kernels.lists(kernels.signed(np.concatenate(out[c])), np.cumsum(lengths)))
+                bounds = np.concatenate([[0], np.cumsum(take)])
+                arrays.append(kernels.lists(kernels.signed(np.concatenate(parts)), bounds))
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return run, "node long, n int" + "".join(f", {c} array<long>" for c in names[2:])
+    return run, "node long, n int, tokens array<long>"
+
+
+def _prefix_length(n, percent):
+    return n - -(-percent * n // 100) + 1
 
 
 def _place(node, row_id):
@@ -182,24 +180,22 @@ def _verified(texts, nodes, pairs, shared_of, width, percent):
     it, the same link comes twice and is merged at the end.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "low"), "node")
-    run, schema = _prefixes(width, percent, shared_of(node_map(ends)), range(1, ORDERS), True)
+    run, schema = _ordered(width, percent, shared_of(node_map(ends)), 1, True)
     sets = written(texts.mapInArrow(run, schema))
-    names = [f"p{k}" for k in range(1, ORDERS)]
+    a, b = (sets.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("tokens").alias(f"{x}_t")) for x in "ab")
 
-    def both(frame, columns):
-        for side in "ab":
-            of = sets.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns))
-            frame = frame.join(of, side)
-        return frame
+    def prefix(x, order):
+        """Under order 1 the first tokens as they stand, under the others the smallest of another hash."""
+        keys = x if order == 1 else F.array_sort(F.transform(x, lambda t: F.xxhash64(t, F.lit(order))))
+        return F.slice(keys, 1, F.size(x) - F.ceil(F.size(x) * percent / 100).cast("int") + 1)
 
-    near = both(pairs, [*names, "n"])
+    both = pairs.join(a, "a").join(b, "b")
     fits = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    for c in names:
-        fits = fits & F.arrays_overlap(f"a_{c}", f"b_{c}")
-    full = both(written(near.where(fits).select("a", "b").distinct()), ["tokens"])
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    union = F.size("a_tokens") + F.size("b_tokens") - shared
-    return full.where(100 * shared >= percent * union).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    for order in range(1, ORDERS):
+        fits = fits & F.arrays_overlap(prefix(F.col("a_t"), order), prefix(F.col("b_t"), order))
+    shared = F.size(F.array_intersect("a_t", "b_t"))
+    fits = fits & (100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared))
+    return both.where(fits).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
 def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75, width=5) -> DataFrame:
@@ -238,28 +234,32 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
     sizes = keyed.groupBy("k", "key").agg(F.log2(F.count("*")).alias("size")).where("size > 0")
     keyed = written(keyed.join(sizes, ["k", "key"]))
     ranks = keyed.groupBy("node").agg(F.sum("size").alias("rank"))
-    sketches = nodes.select("node", F.struct(*SKETCHES).alias("sketch"))
-    keyed = written(keyed.join(ranks, "node").join(sketches, "node"))
-    heads = keyed.groupBy("k", "key").agg(F.max(F.struct("rank", "node", "n", "sketch")).alias("head"))
+    keyed = keyed.join(ranks, "node")
+    sketches = nodes.select("node", "n", F.struct(*SKETCHES).alias("sketch"))
+    heads = keyed.groupBy("k", "key").agg(F.max(F.struct("rank", "node", "n")).alias("head"))
     stars = (
         keyed.join(heads, ["k", "key"])
         .where(f"node <> head.node AND least(n, head.n) * 100 >= greatest(n, head.n) * {percent}")
-        .where(_near("", "head.", percent))
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+        .select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
     )
-    links = written(_verified(texts, nodes, written(stars.distinct()), shared_of, width, percent))
+    for x in "ab":
+        stars = stars.join(sketches.select(F.col("node").alias(x), F.struct("n", "sketch").alias(f"of_{x}")), x)
+    stars = stars.where(_near("of_a.", "of_b.", percent)).select("a", "b")
+    links = written(_verified(texts, nodes, written(stars), shared_of, width, percent))
     roots = components(links)
 
-    run, schema = _prefixes(width, percent, shared_of(), [0], False)
-    postings = (
-        texts.mapInArrow(run, schema).join(roots, "node", "left")
-        .select("node", "n", F.coalesce("root", "node").alias("root"), F.posexplode("p0").alias("at", "token"))
-    )
-    same = Window.partitionBy("token")
-    split = written(
-        postings.withColumns({"least": F.min("root").over(same), "most": F.max("root").over(same)})
-        .where("least < most").select("token", "node", "n", "root", "at").distinct().join(sketches, "node")
-    )
+    run, schema = _ordered(width, percent, shared_of(), 0, False)
+    postings = texts.mapInArrow(run, schema).select("node", F.posexplode("tokens").alias("at", "token"))
+
+    def several(frame, of):
+        """The postings of tokens that more than one ``of`` has."""
+        same = Window.partitionBy("token")
+        frame = frame.withColumns({"least": F.min(of).over(same), "most": F.max(of).over(same)})
+        return frame.where("least < most").drop("least", "most")
+
+    split = several(postings, "node").distinct().join(roots, "node", "left")
+    split = several(split.withColumn("root", F.coalesce("root", "node")), "root")
+    split = written(split.join(sketches, "node"))
     a, b = split.alias("a"), split.alias("b")
     # At the first token that a pair shares, all it shares stands at or after both places.
     shared = F.expr("least(a.n - a.at, b.n - b.at)")
