@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from matchvault.llm.jaccard import jaccard_groups
+from matchvault.llm.suffixes import repeated_spans, without_spans
 
 QUERIES = {}
 ORACLES = {}
@@ -27,3 +28,9 @@ def table(spark, sf_dir, name):
 @query("op1_ngram_jaccard_join")
 def op1_ngram_jaccard_join(spark, sf_dir):
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_array_dedup")
+def op8_suffix_array_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return without_spans(docs, repeated_spans(docs)).drop("kept")

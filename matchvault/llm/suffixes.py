@@ -2,9 +2,9 @@
 
 Only suffixes at content-defined anchors are sorted. An anchor is the position of the smallest hash (the last of
 equals) among the ``GRAM``-byte strings inside a window of ``length`` bytes, so each window has one anchor, and
-equal windows have it at the same place. The windows of one anchor are a run of starts. Anchors whose ``GRAM``
-bytes occur in one document only cannot lie in a repeat; a bit map of fixed size over those that recur leaves them
-out (its false positives only add work). The others are range-partitioned by their leading bytes, with splitters
+equal windows have it at the same place. The windows of one anchor are a run of starts. Anchors whose string, or
+whose string with context, occurs in one document only cannot lie in a repeat; bit maps of fixed size over those
+that recur leave them out (false positives only add work). The others are range-partitioned by their leading bytes, with splitters
 that Spark samples, and by document, so that a common string is cut into several buckets. Within a bucket a
 multikey sort over 64-bit characters brings equal suffixes together; only the first document of each keeps it.
 Different suffixes with one leading string are compared window by window, by 64-bit hashes joined with that of the
@@ -15,6 +15,7 @@ distributed aggregate.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -24,83 +25,129 @@ from pyspark.sql import functions as F
 from matchvault.llm import kernels
 from matchvault.llm.store import bit_map, written
 
-GRAM = 24
+GRAM = 16
 MAP_BITS = 26
 RUN = 1 << 13
 
 
 def _anchors(data, offsets, length):
-    """``(at, low, high, text)``: anchors, the first and last window start of each, and the text they are in."""
-    n, windows = len(data), length - GRAM + 1
+    """``(at, low, high, text, running)``: anchors, first and last start of their windows, their texts; the hash sums."""
     running = kernels.prefix_hash(data)
-    starts = np.arange(max(0, n - GRAM + 1))
-    gram = kernels.span_hash(running, starts, starts + GRAM)
-    ats, lows, highs, texts = [], [], [], []
-    for t in np.flatnonzero(np.diff(offsets) >= length):
-        begin, end = offsets[t], offsets[t + 1]
-        part = gram[begin : end - GRAM + 1]
-        view = np.lib.stride_tricks.sliding_window_view(part[::-1], windows)[::-1]
-        at = np.arange(begin, end - length + 1) + (windows - 1) - view.argmin(axis=1)
-        cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        ats.append(at[cut])
-        lows.append(begin + cut)
-        highs.append(begin + np.concatenate([cut[1:], [len(at)]]) - 1)
-        texts.append(np.full(len(cut), t))
-    if not ats:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none, np.zeros(0, np.uint64)
-    at = np.concatenate(ats)
-    return at, np.concatenate(lows), np.concatenate(highs), np.concatenate(texts), gram[at]
-
-
-def _met(length):
-    """Distinct anchor strings of a block with the smallest and largest document that has each."""
-    schema = pa.schema([("gram", pa.int64()), ("least", pa.int64()), ("most", pa.int64())])
+    none = np.zeros(0, np.int64)
+    if len(data) < length:
+        return none, none, none, none, running
+    starts = np.arange(len(data) - GRAM + 1)
+    # The hash above, the place (later is smaller) below: the least is the last of the smallest hashes.
+    low_word = np.uint64(0xFFFFFFFF)
+    least = (kernels.span_hash(running, starts, starts + GRAM) & ~low_word) | (low_word - starts.astype(np.uint64))
+    windows, span = length - GRAM + 1, 1
+    while 2 * span <= windows:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < windows:
+        least = np.minimum(least[: len(least) - (windows - span)], least[windows - span :])
+    text = np.repeat(np.arange(len(offsets) - 1), np.maximum(np.diff(offsets) - length + 1, 0))
+    if not len(text):
+        return none, none, none, none, running
+    before = np.concatenate([[0], np.cumsum(np.maximum(np.diff(offsets) - length + 1, 0))])
+    start = offsets[:-1][text] + np.arange(len(text)) - before[text]
+    at = (low_word - (least[start] & low_word)).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])]))
+    last = np.concatenate([cut[1:], [len(at)]]) - 1
+    return at[cut], start[cut], start[last], text[cut], running
+
+
+def _marked(known, key):
+    """Which 32-bit keys the bit map has."""
+    place = (key >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return (known[place >> 3] >> (place & 7)) & 1 == 1
+
+
+def _gram(running, at):
+    return kernels.span_hash(running, at, at + GRAM)
+
+
+def _recurring(length, shared, widened, at, low, high, text, running):
+    """The anchors whose string, and whose string with half of the context on either side, recurs."""
+    grams, more = shared.value[0], shared.value[1]
+    some = _marked(grams, _gram(running, at))
+    at, low, high, text = at[some], low[some], high[some], text[some]
+    if not widened:
+        return at, low, high, text
+    some = np.zeros(len(at), bool)
+    for which, key in _contexts(length, at, low, high, running):
+        some[which] |= _marked(more, key)
+    return at[some], low[some], high[some], text[some]
+
+
+def _contexts(length, at, low, high, running):
+    """Every window holds its anchor's string with ``half`` bytes before it, or with the rest after it."""
+    half = (length - GRAM) // 2
+    before, after = np.flatnonzero(at - low >= half), np.flatnonzero(at - high < half)
+    yield before, kernels.mix(kernels.span_hash(running, at[before] - half, at[before] + GRAM), 3)
+    yield after, kernels.mix(kernels.span_hash(running, at[after], at[after] + length - half), 4)
+
+
+def _keys(length, kept, shared=None):
+    """Upper half of the keys of a block's anchors with the number of texts (one or more) that have each.
+
+    Without ``shared`` the key is the anchor's string, with it the strings with context of recurring anchors.
+    """
+    schema = pa.schema([("key", pa.int32()), ("n", pa.int32())])
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            for rows, data, offsets in kernels.blocks(batch):
-                at, _, _, text, gram = _anchors(data, offsets, length)
-                if len(at):
-                    doc = ids[rows][text]
-                    order = np.lexsort((doc, gram))
-                    gram, doc = gram[order], doc[order]
-                    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-                    last = np.concatenate([first[1:], [len(gram)]]) - 1
+            for _, data, offsets in kernels.blocks(_processed(batch, kept)):
+                at, low, high, text, running = _anchors(data, offsets, length)
+                if shared is None:
+                    key = _gram(running, at)
+                else:
+                    at, low, high, text = _recurring(length, shared, False, at, low, high, text, running)
+                    found = list(_contexts(length, at, low, high, running))
+                    key, text = np.concatenate([k for _, k in found]), np.concatenate([text[w] for w, _ in found])
+                both = np.unique((key & np.uint64(0xFFFFFFFF00000000)) | text.astype(np.uint64)) >> np.uint64(32)
+                if len(both):
+                    key, n = np.unique(both, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(kernels.signed(gram[first])), pa.array(doc[first]), pa.array(doc[last])], schema=schema
+                        [pa.array(key.astype(np.uint32).view(np.int32)), pa.array(np.minimum(n, 2).astype(np.int32))],
+                        schema=schema,
                     )
 
-    return run, "gram long, least long, most long"
+    return run, "key int, n int"
+
+
+def _processed(batch, kept):
+    """Rows of a batch in the bit map ``kept``."""
+    if not batch.num_rows:
+        return batch
+    place = (batch.column("digest").to_numpy().view(np.uint64) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return batch.filter(pa.array((kept.value[place >> 3] >> (place & 7)) & 1 == 1))
 
 
-def _suffixes(length, shared):
-    """Anchors that recur: leading bytes, the bytes of all their windows, document, first window start."""
+def _suffixes(length, kept, shared):
+    """Anchors that recur: leading string, the bytes of all their windows, document, first window start."""
     schema = pa.schema(
         [("gram", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int32()), ("low", pa.int32()), ("bytes", pa.binary())]
     )
 
     def run(batches):
-        known = shared.value
         for batch in batches:
+            batch = _processed(batch, kept)
             ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
             for rows, data, offsets in kernels.blocks(batch):
-                at, low, high, text, gram = _anchors(data, offsets, length)
-                place = (gram >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-                some = np.flatnonzero((known[place >> 3] >> (place & 7)) & 1)
-                if not len(some):
+                at, low, high, text, running = _anchors(data, offsets, length)
+                at, low, high, text = _recurring(length, shared, True, at, low, high, text, running)
+                if not len(at):
                     continue
-                low, high, text, gram = low[some], high[some], text[some], gram[some]
                 size = high - low + length
                 bounds = np.concatenate([[0], np.cumsum(size)])
                 taken = data[np.repeat(low - bounds[:-1], size) + np.arange(bounds[-1])]
                 cells = pa.Array.from_buffers(
-                    pa.binary(), len(some), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(taken)]
+                    pa.binary(), len(at), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(taken)]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(kernels.signed(gram)),
+                        pa.array(kernels.signed(_gram(running, at))),
                         pa.array(ids[rows][text]),
                         pa.array(versions[rows][text]),
                         pa.array((low - offsets[text]).astype(np.int32)),
@@ -266,11 +313,29 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = _texts(docs).where("doc_id IS NOT NULL")
-    run, schema = _met(length)
-    grams = texts.mapInArrow(run, schema).groupBy("gram").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-    places = grams.where("least < most").select(F.expr(f"shiftrightunsigned(gram, {64 - MAP_BITS})").alias("at"))
-    shared = spark.sparkContext.broadcast(bit_map(places.distinct(), MAP_BITS))
-    run, schema = _suffixes(length, shared)
+    # Copies of a text: all but the first go whole, and only firsts are sorted. Their bit map has no false
+    # negatives, so a first is never left out; a copy that passes it is found by its suffixes as well.
+    named = texts.select(
+        "doc_id", "version", F.octet_length("text").alias("size"), F.xxhash64("text").alias("d1"), "digest",
+        F.xxhash64("text", F.lit(1)).alias("d2"),
+    )
+    heads = written(named.groupBy("d1", "d2").agg(F.min_by("digest", "doc_id").alias("digest"), F.min("doc_id").alias("head"), F.count("*").alias("n")))
+    copies = (
+        named.join(heads.where("n > 1").select("d1", "d2", "head"), ["d1", "d2"])
+        .where((F.col("doc_id") > F.col("head")) & (F.col("size") >= length))
+        .select("doc_id", "version", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"))
+    )
+    top = F.expr(f"shiftrightunsigned(digest, {64 - MAP_BITS})").alias("at")
+    kept = spark.sparkContext.broadcast(bit_map(heads.select(top).distinct(), MAP_BITS))
+
+    def recurring(run, schema):
+        often = texts.mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+        return bit_map(often.select(F.expr(f"shiftrightunsigned(key, {32 - MAP_BITS})").cast("long")).distinct(), MAP_BITS)
+
+    grams = recurring(*_keys(length, kept))
+    shared = spark.sparkContext.broadcast((grams, None))
+    shared = spark.sparkContext.broadcast((grams, recurring(*_keys(length, kept, shared))))
+    run, schema = _suffixes(length, kept, shared)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_suffixes = (
         texts.mapInArrow(run, schema).repartitionByRange(buckets, "gram", "doc_id", "low")
@@ -281,7 +346,7 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     loose = found.where("key IS NOT NULL")
     least = loose.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     late = loose.join(least, "key").where("doc_id > least").select("doc_id", "version", "start", "end")
-    spans = found.where("key IS NULL").select("doc_id", "version", "start", "end").unionByName(late)
+    spans = found.where("key IS NULL").select("doc_id", "version", "start", "end").unionByName(late).unionByName(copies)
     merge = F.expr(
         "aggregate(array_sort(collect_set(struct(start, end))), cast(array() AS array<struct<start:bigint,end:bigint>>), "
         "(a, x) -> CASE WHEN size(a) > 0 AND element_at(a, -1).end >= x.start THEN concat(slice(a, 1, size(a) - 1), "
@@ -293,34 +358,55 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
 
 def _texts(docs):
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.hash(text).alias("version"))
+    doc_id, version = F.col("doc_id").cast("long"), F.hash(text)
+    return docs.select(
+        doc_id.alias("doc_id"), text.alias("text"), version.alias("version"),
+        F.xxhash64(doc_id, version).alias("digest"),
+    )
 
 
 def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Each row of ``docs(doc_id, text)`` with its sizes and the SHA-256 of the bytes that stay.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary: a span may end inside a character).
+    Texts cross the shuffle deflated.
     """
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
          ("kept_sha256", pa.string()), ("kept", pa.binary())]
     )
 
+    def deflated(batches):
+        for batch in batches:
+            packed = [zlib.compress(x.as_buffer(), 1) for x in batch.column("text")]
+            keys = [batch.column("doc_id"), batch.column("version")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(packed, pa.binary())], names=["doc_id", "version", "packed"])
+
     def run(batches):
         for batch in batches:
-            out = []
-            for doc, text, gone in zip(*(batch.column(c) for c in ("doc_id", "text", "spans")), strict=True):
-                raw, at, kept, n = text.as_py().encode(), 0, [], 0
-                for span in gone.as_py() or []:
+            out, size = [], 0
+            for doc, text, gone in zip(*(batch.column(c) for c in ("doc_id", "packed", "spans")), strict=True):
+                raw, at, kept, n, gone = zlib.decompress(text.as_buffer()), 0, [], 0, gone.as_py() or []
+                for span in gone:
                     kept.append(raw[at : span["start"]])
                     n += span["end"] - span["start"]
                     at = span["end"]
                 kept = b"".join([*kept, raw[at:]])
-                out.append((doc.as_py(), len(raw), n, len(gone.as_py() or []), hashlib.sha256(kept).hexdigest(), kept))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema
-            )
-
-    return _texts(docs).join(spans, ["doc_id", "version"], "left").mapInArrow(
+                out.append((doc.as_py(), len(raw), n, len(gone), hashlib.sha256(kept).hexdigest(), kept))
+                size += len(kept)
+                if size >= kernels.BLOCK:
+                    yield _batch(out, schema)
+                    out, size = [], 0
+            if out:
+                yield _batch(out, schema)
+
+    packed = _texts(docs).select("doc_id", "version", "text").mapInArrow(deflated, "doc_id long, version int, packed binary")
+    return packed.join(spans, ["doc_id", "version"], "left").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
+
+
+def _batch(rows, schema):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
+    )
