@@ -28,6 +28,7 @@ CLASSED = 1 << 18  # at most so many tokens have a class above the lowest
 MAP_BITS = 24
 SKETCH = 8  # words of 64 bits; each token flips one bit, so two sketches differ in no more bits than the sets in tokens
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
+BROADCAST = 1_000_000
 HELD = 1 << 22  # distinct tokens that a task counts at once
 
 
@@ -41,7 +42,7 @@ def _nodes(first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def _profile(width):
     """Per text: node, set size, smallest hash under ``KEYS`` permutations; then the task's frequent tokens."""
-    names = ["row_id", "node", "n", *(f"k{i}" for i in range(KEYS)), *SKETCHES, "token", "seen"]
+    names = ["row_id", "version", "node", "n", *(f"k{i}" for i in range(KEYS)), *SKETCHES, "token", "seen"]
     schema = pa.schema([(c, pa.int32() if c == "n" else pa.int64()) for c in names])
 
     def run(batches):
@@ -52,7 +53,7 @@ def _profile(width):
                 hashes, first = kernels.shingles(data, offsets, width)
                 sizes = np.diff(first)
                 some = sizes > 0
-                columns = {"row_id": ids[rows], "node": _nodes(first, hashes), "n": sizes.astype(np.int32)}
+                columns = {"row_id": ids[rows], "version": batch.column("version")[rows], "node": _nodes(first, hashes), "n": sizes.astype(np.int32)}
                 for k in range(KEYS):
                     low = np.zeros(len(sizes), np.uint64)
                     if some.any():
@@ -199,7 +200,8 @@ def _verified(texts, nodes, pairs, shared_of, width, percent):
 
 
 def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75, width=5) -> DataFrame:
-    """``(id, n_shingles, component_id)`` for every row: set size and smallest id reachable over links.
+    """``(id, n_shingles, component_id, version)`` for every row: set size, smallest id reachable over links, and the
+    ``xxhash64`` of the text, which tells rows of one id apart.
 
     Two sets link when ``100 * shared >= percent * union``. Sets are those of ``kernels.shingles``. A null, empty
     or blank text has an empty set and links with nothing: its component is its own id. Rows that repeat are
@@ -207,7 +209,10 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
     Other columns are ignored. Shingles are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"),
+    )
     run, schema = _profile(width)
     seen = written(texts.mapInArrow(run, schema))
     rows = seen.where("n IS NOT NULL")
@@ -274,10 +279,35 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     named = named.select("node", "root").join(lowest, "root").select("node", "component_id")
     return (
-        rows.select("row_id", "node", "n").join(named, "node", "left")
+        rows.select("row_id", "version", "node", "n").join(named, "node", "left")
         .select(
             F.col("row_id").alias(id_col),
             F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") == 0, F.col("row_id")).otherwise(F.col("component_id")).alias("component_id"),
+            "version",
         )
     )
+
+
+def without_near_copies(docs: DataFrame, percent=75, width=5) -> DataFrame:
+    """``docs(doc_id, text, ...)`` with one row of each group of near copies: the one with the smallest id.
+
+    Rows with one id and one text are copies of each other; different texts under one id are different documents,
+    and stay if no smaller id is in their group. Rows without an id cannot be named and stay.
+    """
+    groups = written(jaccard_groups(docs, percent=percent, width=width))
+    key = ["doc_id", "version"]
+    gone = groups.where("doc_id <> component_id").select(*key).distinct()
+    again = groups.where("doc_id = component_id").groupBy(*key).count().where("count > 1").select(*key)
+    named = docs.withColumn("version", F.xxhash64(F.coalesce("text", F.lit(""))))
+    stay = named.join(_small(gone), key, "left_anti")
+    if not again.isEmpty():
+        one = stay.join(_small(again), key, "left_semi").dropDuplicates(key)
+        stay = stay.join(_small(again), key, "left_anti").unionByName(one)
+    return stay.select(*docs.columns)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast up to ``BROADCAST`` rows of two longs; larger, Spark joins by shuffling."""
+    df = written(df)
+    return F.broadcast(df) if df.count() <= BROADCAST else df

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 # Odd multiplier of the polynomial hash and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)

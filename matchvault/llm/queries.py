@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from matchvault.llm.chunks import repeated_chunks
+from matchvault.llm.decontaminate import contaminated
+from matchvault.llm.hyperlang import predict_language, prototypes
 from matchvault.llm.jaccard import jaccard_groups
+from matchvault.llm.pieces import decode, encode
+from matchvault.llm.resample import resampled
+from matchvault.llm.ring import bounded_shards
+from matchvault.llm.secrets_scan import listed, secret_spans
+from matchvault.llm.simhash import as_text, edited_fingerprints, likeness, within_radius
+from matchvault.llm.store import small_batches, written
 from matchvault.llm.suffixes import repeated_spans, without_spans
 
 QUERIES = {}
@@ -22,15 +33,91 @@ def query(name, sql=None):
 
 
 def table(spark, sf_dir, name):
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query("op1_ngram_jaccard_join")
 def op1_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_groups(table(spark, sf_dir, "documents"))
+    return jaccard_groups(table(spark, sf_dir, "documents")).drop("version")
 
 
 @query("op8_suffix_array_dedup")
 def op8_suffix_array_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return without_spans(docs, repeated_spans(docs)).drop("kept")
+
+
+@query("op2_content_chunk_dedup")
+def op2_content_chunk_dedup(spark, sf_dir):
+    found = repeated_chunks(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id", "n_bytes", "n_chunks", "n_repeated", F.size("spans").cast("long").alias("n_spans"),
+        removed.alias("n_removed"),
+        F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"),
+    )
+
+
+@query("op4_simhash_fingerprints")
+def op4_simhash_fingerprints(spark, sf_dir):
+    prints = written(edited_fingerprints(table(spark, sf_dir, "documents")))
+    pairs = within_radius(prints)
+    near = pairs.select(F.explode(F.array("a", "b")).alias("print")).groupBy("print").agg(F.count("*").alias("n_near"))
+    return prints.join(near, "print", "left").select(
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("print")).alias("fingerprint"),
+        as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+        F.coalesce("n_near", F.lit(0)).alias("n_near"),
+    )
+
+
+@query("op7_consistent_hash_sharding")
+def op7_consistent_hash_sharding(spark, sf_dir):
+    placed = bounded_shards(table(spark, sf_dir, "documents"), 8)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op9_entropy_secret_scan")
+def op9_entropy_secret_scan(spark, sf_dir):
+    found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("found", lambda x: x["rank"] < 3)
+    counts = [F.expr(f"cast(size(filter(found, x -> x.rank = {r})) AS long)").alias(f"n_{k}")
+              for r, k in enumerate(("assign", "access", "hex"))]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+@query("op10_hyperdimensional_language_id")
+def op10_hyperdimensional_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    learned = docs.where((part != 1) & F.col("lang").isNotNull())
+    rows = docs.select("doc_id", "text", F.coalesce(part == 1, F.lit(False)).alias("held_out"))
+    return predict_language(rows, *prototypes(learned))
+
+
+@query("op6_importance_resampling")
+def op6_importance_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampled(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query("op3_benchmark_decontamination")
+def op3_benchmark_decontamination(spark, sf_dir):
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"),
+        F.max("answer_overlap").alias("answer_overlap"),
+    )
+
+
+@query("op5_sampled_pieces")
+def op5_sampled_pieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spelled = decode(encode(docs))
+    return spelled.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("lossless"),
+    )

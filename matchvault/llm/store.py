@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long and several tasks share an executor's memory, so Arrow batches are kept short."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; set to a local folder only where it is unset and the session is local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

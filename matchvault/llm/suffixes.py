@@ -286,6 +286,9 @@ def _compared(length):
             table = pa.Table.from_batches([batch])
             if rest is not None:
                 table = pa.concat_tables([rest, table])
+            if table.num_rows < RUN:
+                rest = table
+                continue
             gram = table.column("gram").to_numpy()
             if not cut:
                 cut.add(int(gram[0]))
@@ -298,7 +301,8 @@ def _compared(length):
                 yield from closed(table.slice(0, done), cut)
             rest = table.slice(done)
         if rest is not None and rest.num_rows:
-            yield from closed(rest, cut | {int(rest.column("gram")[-1].as_py())})
+            first, last = (int(rest.column("gram")[i].as_py()) for i in (0, -1))
+            yield from closed(rest, (cut or {first}) | {last})
 
     return run, "doc_id long, version long, start long, end long, key long"
 
