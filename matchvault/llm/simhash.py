@@ -14,8 +14,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NEAR = 64  # ids per range that is sorted together
-FAR = 4096  # ranges that are sorted together
+NEAR = 6  # a range of 2^6 ids is sorted together
+FAR = 12  # and 2^12 ranges
 BLOCKS = 6
 TERM_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -82,17 +82,20 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(inner, edge)``: rows with the text of the next document, in two parts that together have every row.
 
     Documents follow each other by id, then text; the first follows the last. A row without an id has no next one
-    (an empty text). Ids are cut into ranges of ``NEAR``, whose rows are sorted together, so a task holds few
+    (an empty text). Ids are cut into ranges of 2^``NEAR``, whose rows are sorted together, so a task holds few
     texts however many there are; only the last row of each range, in ``edge``, is joined to the next range's first.
     """
-    ranged = docs.where("doc_id IS NOT NULL").withColumn("range", F.floor(F.col("doc_id") / F.lit(NEAR)).cast("long"))
-    ranged = ranged.repartition("range")
+    ranged = docs.where("doc_id IS NOT NULL").withColumn("range", F.shiftright("doc_id", NEAR))
+    # Joins below would add this filter to some branches only, and the exchange could not be reused.
+    ranged = ranged.where("range IS NOT NULL").repartition("range")
     follow = Window.partitionBy("range").orderBy("doc_id", "text")
-    led = ranged.withColumns({"next_text": F.lead("text").over(follow), "more": F.lead(F.lit(1)).over(follow)})
-    firsts = ranged.groupBy("range").agg(F.min(F.struct("doc_id", "text")).alias("first")).select("range", "first.text")
+    led = ranged.withColumns(
+        {"next_text": F.lead("text").over(follow), "more": F.lead(F.lit(1)).over(follow), "less": F.lag(F.lit(1)).over(follow)}
+    )
+    firsts = led.where("less IS NULL").select("range", "text")
 
-    group = F.floor(F.col("range") / F.lit(FAR)).cast("long")
-    ranges = docs.where("doc_id IS NOT NULL").select(F.floor(F.col("doc_id") / F.lit(NEAR)).cast("long").alias("range"))
+    group = F.shiftright("range", FAR)
+    ranges = docs.where("doc_id IS NOT NULL").select(F.shiftright("doc_id", NEAR).alias("range"))
     ranges = ranges.distinct().withColumn("group", group)
     groups = ranges.groupBy("group").agg(F.min("range").alias("low"))
     all_groups = Window.partitionBy(F.lit(0)).orderBy("group")
@@ -101,7 +104,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     within = Window.partitionBy("group").orderBy("range")
     ranges = ranges.withColumn("following", F.lead("range").over(within)).join(groups, "group")
     ranges = ranges.select("range", F.coalesce("following", "after").alias("following"))
-    edge = led.where("more IS NULL").drop("more", "next_text").join(ranges, "range")
+    edge = led.where("more IS NULL").drop("more", "less", "next_text").join(ranges, "range")
     edge = edge.join(firsts.select(F.col("range").alias("following"), F.col("text").alias("next_text")), "following")
     loose = docs.where("doc_id IS NULL").withColumns({"range": F.lit(None).cast("long"), "next_text": F.lit("")})
     columns = ["range", "doc_id", "text", "next_text"]
