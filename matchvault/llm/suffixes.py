@@ -2,9 +2,9 @@
 
 Only suffixes at content-defined anchors are sorted. An anchor is the position of the smallest hash (the last of
 equals) among the ``GRAM``-byte strings inside a window of ``length`` bytes, so each window has one anchor, and
-equal windows have it at the same place. The windows of one anchor are a run of starts. Anchors whose string, or
-whose string with context, occurs in one document only cannot lie in a repeat; bit maps of fixed size over those
-that recur leave them out (false positives only add work). The others are range-partitioned by their leading bytes, with splitters
+equal windows have it at the same place. The windows of one anchor are a run of starts. Anchors whose string
+with the context on either side occurs in one document only cannot lie in a repeat; a bit map of fixed size over
+those that recur leaves them out (false positives only add work). The others are range-partitioned by their leading bytes, with splitters
 that Spark samples, and by document, so that a common string is cut into several buckets. Within a bucket a
 multikey sort over 64-bit characters brings equal suffixes together; only the first document of each keeps it.
 Different suffixes with one leading string are compared window by window, by 64-bit hashes joined with that of the
@@ -67,16 +67,11 @@ def _gram(running, at):
     return kernels.span_hash(running, at, at + GRAM)
 
 
-def _recurring(length, shared, widened, at, low, high, text, running):
-    """The anchors whose string, and whose string with half of the context on either side, recurs."""
-    grams, more = shared.value[0], shared.value[1]
-    some = _marked(grams, _gram(running, at))
-    at, low, high, text = at[some], low[some], high[some], text[some]
-    if not widened:
-        return at, low, high, text
+def _recurring(length, known, at, low, high, text, running):
+    """The anchors whose string recurs with half of the context on one side or the rest on the other."""
     some = np.zeros(len(at), bool)
     for which, key in _contexts(length, at, low, high, running):
-        some[which] |= _marked(more, key)
+        some[which] |= _marked(known, key)
     return at[some], low[some], high[some], text[some]
 
 
@@ -88,23 +83,16 @@ def _contexts(length, at, low, high, running):
     yield after, kernels.mix(kernels.span_hash(running, at[after], at[after] + length - half), 4)
 
 
-def _keys(length, kept, shared=None):
-    """Upper half of the keys of a block's anchors with the number of texts (one or more) that have each.
-
-    Without ``shared`` the key is the anchor's string, with it the strings with context of recurring anchors.
-    """
+def _keys(length, kept):
+    """Upper half of the keys of a block's anchors in context, with the number of texts (one or more) of each."""
     schema = pa.schema([("key", pa.int32()), ("n", pa.int32())])
 
     def run(batches):
         for batch in batches:
             for _, data, offsets in kernels.blocks(_processed(batch, kept)):
                 at, low, high, text, running = _anchors(data, offsets, length)
-                if shared is None:
-                    key = _gram(running, at)
-                else:
-                    at, low, high, text = _recurring(length, shared, False, at, low, high, text, running)
-                    found = list(_contexts(length, at, low, high, running))
-                    key, text = np.concatenate([k for _, k in found]), np.concatenate([text[w] for w, _ in found])
+                found = list(_contexts(length, at, low, high, running))
+                key, text = np.concatenate([k for _, k in found]), np.concatenate([text[w] for w, _ in found])
                 both = np.unique((key & np.uint64(0xFFFFFFFF00000000)) | text.astype(np.uint64)) >> np.uint64(32)
                 if len(both):
                     key, n = np.unique(both, return_counts=True)
@@ -136,7 +124,7 @@ def _suffixes(length, kept, shared):
             ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
             for rows, data, offsets in kernels.blocks(batch):
                 at, low, high, text, running = _anchors(data, offsets, length)
-                at, low, high, text = _recurring(length, shared, True, at, low, high, text, running)
+                at, low, high, text = _recurring(length, shared.value, at, low, high, text, running)
                 if not len(at):
                     continue
                 size = high - low + length
@@ -248,7 +236,8 @@ def _compared(length):
         if len(row):
             yield _rows(held, row, 0, held.size[row])
 
-    def settled(held):
+    def settled(held, cut):
+        """Spans that go by what is here; with ``cut``, also the windows that stay, for the other pieces of a run."""
         yield from repeated(held)
         group, step, key = held.windows(length)
         order = np.argsort(key)
@@ -256,27 +245,26 @@ def _compared(length):
         least = np.minimum.reduceat(held.least[group[order]], first)
         gone = np.zeros(len(key), bool)
         gone[order] = np.repeat(least, np.diff([*first, len(order)])) < held.least[group[order]]
+        owners = np.flatnonzero(held.doc == held.least[held.group])
         at = np.flatnonzero(gone)
         if len(at):
             joint = (group[at][1:] == group[at][:-1]) & (step[at][1:] == step[at][:-1] + 1)
             low, high = at[np.concatenate([[True], ~joint])], at[np.concatenate([~joint, [True]])]
-            i, row = _spread(group[low], np.flatnonzero(held.doc == held.least[held.group]), held.group)
+            i, row = _spread(group[low], owners, held.group)
             yield _rows(held, row, step[low][i], step[high][i] + length)
-
-    def open_ended(held):
-        yield from repeated(held)
-        group, step, key = held.windows(length)
-        i, row = _spread(group, np.flatnonzero(held.doc == held.least[held.group]), held.group)
-        yield _rows(held, row, step[i], step[i] + length, key[i])
+        at = np.flatnonzero(~gone)
+        if cut and len(at):
+            i, row = _spread(group[at], owners, held.group)
+            yield _rows(held, row, step[at][i], step[at][i] + length, key[at][i])
 
     def closed(table, cut):
         gram = table.column("gram").to_numpy()
         loose = np.isin(gram, np.array(sorted(cut), dtype=np.int64))
         if not loose.all():
-            yield from settled(_Suffixes(table.filter(pa.array(~loose))))
+            yield from settled(_Suffixes(table.filter(pa.array(~loose))), False)
         part = table.filter(pa.array(loose))
         for low in range(0, part.num_rows, RUN):
-            yield from open_ended(_Suffixes(part.slice(low, RUN)))
+            yield from settled(_Suffixes(part.slice(low, RUN)), True)
 
     def run(batches):
         rest, cut = None, set()
@@ -332,13 +320,10 @@ def repeated_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     top = F.expr(f"shiftrightunsigned(digest, {64 - MAP_BITS})").alias("at")
     kept = spark.sparkContext.broadcast(bit_map(heads.select(top).distinct(), MAP_BITS))
 
-    def recurring(run, schema):
-        often = texts.mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
-        return bit_map(often.select(F.expr(f"shiftrightunsigned(key, {32 - MAP_BITS})").cast("long")).distinct(), MAP_BITS)
-
-    grams = recurring(*_keys(length, kept))
-    shared = spark.sparkContext.broadcast((grams, None))
-    shared = spark.sparkContext.broadcast((grams, recurring(*_keys(length, kept, shared))))
+    run, schema = _keys(length, kept)
+    often = texts.mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    places = often.select(F.expr(f"shiftrightunsigned(key, {32 - MAP_BITS})").cast("long")).distinct()
+    shared = spark.sparkContext.broadcast(bit_map(places, MAP_BITS))
     run, schema = _suffixes(length, kept, shared)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_suffixes = (
