@@ -118,7 +118,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has the last ``n_chars div 2`` code points replaced by the first as many of the next document.
     A null text is empty.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # An alias of an unchanged column would keep branches from sharing their exchange.
+    doc_id = "doc_id" if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    base = docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))
     parts = []
     for part in with_next(base):
         half = F.floor(F.length("text") / 2).cast("int")
