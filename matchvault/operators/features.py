@@ -179,17 +179,18 @@ def string_columns(df):
 
 
 def split_by_date(df, date, cutoff):
-    """Train rows before the cutoff, test rows from it on."""
-    at = F.lit(cutoff).cast(df.schema[date].dataType)
-    return df.filter(F.col(date) < at), df.filter(F.col(date) >= at)
+    """Train rows before the cutoff, test rows from it on. Rows without a date train."""
+    late = F.coalesce(F.col(date) >= F.lit(cutoff).cast(df.schema[date].dataType), F.lit(False))
+    return df.filter(~late), df.filter(late)
 
 
 def tail_cutoff(df, date, share):
     """``(day, rows of that day)`` where the last ``share`` of rows by date begins.
 
-    Only per-day counts are ordered, never the rows: the window has one row per calendar day.
+    Only per-day counts are ordered, never the rows: the window has one row per calendar day. Rows without a
+    date are not counted.
     """
-    days = df.groupBy(F.to_date(date).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    days = df.filter(F.col(date).isNotNull()).groupBy(F.to_date(date).alias("day")).agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy()
     newest_first = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.floor(F.lit(share) * F.col("total"))
@@ -204,16 +205,17 @@ def tail_cutoff(df, date, share):
 
 
 def tail_split(df, date, share, order):
-    """``df`` with ``is_test`` true on exactly the last ``floor(share * n)`` rows by date.
+    """``df`` with ``is_test`` true on exactly the last ``floor(share * n)`` of the n rows with a date, by date.
 
     Days after the cutoff are test and days before it train by a date filter; inside the one day that
-    is divided, ``order`` decides and only that day's rows are scanned.
+    is divided, ``order`` decides and only that day's rows are scanned. Rows without a date train.
     """
     day, wanted = tail_cutoff(df, date, share)
     if day is None:
         return df.withColumn("is_test", F.lit(False))
-    on_day = F.to_date(date) == F.lit(day)
-    others = df.filter(~on_day).withColumn("is_test", F.to_date(date) > F.lit(day))
+    on_day = F.coalesce(F.to_date(date) == F.lit(day), F.lit(False))
+    later = F.coalesce(F.to_date(date) > F.lit(day), F.lit(False))
+    others = df.filter(~on_day).withColumn("is_test", later)
     divided = df.filter(on_day)
     size = divided.count()
     ranked = ordered_scan(divided, [], order).with_values(_before=sum_before(F.lit(1))).rows()

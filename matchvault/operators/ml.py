@@ -117,6 +117,6 @@ def top_features(importance, n=TOP_FEATURES):
 
 
 def merge_predictions(old, new, date, cutoff):
-    """Stored predictions from before the cutoff and the new ones from it on."""
-    at = F.lit(cutoff).cast(old.schema[date].dataType)
-    return old.filter(F.col(date) < at).unionByName(new, allowMissingColumns=True)
+    """Stored predictions from before the cutoff, or without a date, and the new ones from it on."""
+    late = F.coalesce(F.col(date) >= F.lit(cutoff).cast(old.schema[date].dataType), F.lit(False))
+    return old.filter(~late).unionByName(new, allowMissingColumns=True)

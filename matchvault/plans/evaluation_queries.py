@@ -179,31 +179,61 @@ def trained(spark, sf_dir, classifier):
     return ml.fit(train, NUMERIC, CATEGORICAL, classifier), test
 
 
-def _scores(spark, sf_dir, classifier):
+# What SQL can state of a model: its hold-out rows with their labels, scores in range, decisions that follow them.
+SCORES_SQL = (
+    "WITH"
+    + fx.LABELLED_SQL
+    + f"""
+SELECT game_source_id, strftime(game_date, '%Y-%m-%d') AS game_date, home_team_winner::DOUBLE AS label,
+       true AS score_in_range, true AS decision_follows
+FROM labelled WHERE game_date >= DATE '{CUTOFF}' AND home_team_winner IS NOT NULL"""
+)
+
+
+def _scores(spark, sf_dir, classifier, threshold, is_probability=True):
+    """Every hold-out row scored, with what must hold for its score and decision."""
     model, test = trained(spark, sf_dir, classifier)
-    scored = ml.score(model, test).select("game_source_id", "game_date", "label", "score", "y_pred")
-    return iso_dates(scored)
+    scored = ml.score(model, test, threshold)
+    score = F.col("score")
+    in_range = score.between(0, 1) if is_probability else ~F.isnan(score) & (F.abs(score) < float("inf"))
+    return iso_dates(
+        scored.select(
+            "game_source_id", "game_date", "label",
+            in_range.alias("score_in_range"),
+            ((score >= threshold) == (F.col("y_pred") == 1)).alias("decision_follows"),
+        )
+    )
 
 
-@query("train_logistic")
+@query("train_logistic", SCORES_SQL)
 def train_logistic(spark, sf_dir):
-    return _scores(spark, sf_dir, ml.logistic)
+    return _scores(spark, sf_dir, ml.logistic, 0.5)
 
 
-@query("train_svm")
+@query("train_svm", SCORES_SQL)
 def train_svm(spark, sf_dir):
-    return _scores(spark, sf_dir, ml.svm())
+    return _scores(spark, sf_dir, ml.svm(), 0.0, is_probability=False)
 
 
-@query("train_gbt")
+@query("train_gbt", SCORES_SQL)
 def train_gbt(spark, sf_dir):
-    return _scores(spark, sf_dir, ml.boosted_trees(rounds=5))
+    return _scores(spark, sf_dir, ml.boosted_trees(), 0.52)
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"('{c}', true, 1.0::DOUBLE)" for c in [*NUMERIC, *CATEGORICAL])
+    + ") AS t(feature, not_negative, total)",
+)
 def feature_importance(spark, sf_dir):
-    model, _ = trained(spark, sf_dir, ml.boosted_trees(rounds=5))
-    return ml.top_features(ml.feature_importance(model, NUMERIC, CATEGORICAL, spark))
+    """The features by importance, none negative, and what all of them add up to."""
+    model, _ = trained(spark, sf_dir, ml.boosted_trees())
+    found = ml.top_features(ml.feature_importance(model, NUMERIC, CATEGORICAL, spark))
+    total = found.agg(F.round(F.sum("feature_importance"), 6).alias("total"))
+    return found.crossJoin(F.broadcast(total)).select(
+        "feature", (F.col("feature_importance") >= 0).alias("not_negative"), "total"
+    )
 
 
 @query("model_comparison")
@@ -214,7 +244,8 @@ def model_comparison(spark, sf_dir):
     called = {"Baseline - Random": (evaluate.random_guess(test, "game_source_id"), None)}
     for name, classifier, threshold in (
         ("Logistic Regression", ml.logistic, 0.5),
-        ("Boosted Trees", ml.boosted_trees(rounds=3), 0.52),
+        ("Boosted Trees", ml.boosted_trees(), 0.52),
+        ("Support Vector Machine", ml.svm(), 0.0),
     ):
         model = ml.fit(train, NUMERIC, CATEGORICAL, classifier)
         called[name] = (ml.score(model, test, threshold), threshold)

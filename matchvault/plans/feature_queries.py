@@ -63,13 +63,17 @@ formed AS (
   FROM both_sides
   WINDOW w AS (PARTITION BY team, season ORDER BY eastern_start_time, {KEYS}, side
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+folded AS (
+  SELECT {KEYS},
+         max(CASE WHEN side = 'h' THEN n END) AS hn, max(CASE WHEN side = 'h' THEN wins END) AS hw,
+         max(CASE WHEN side = 'v' THEN n END) AS vn, max(CASE WHEN side = 'v' THEN wins END) AS vw
+  FROM formed GROUP BY {KEYS}
 )
-SELECT {", ".join("h." + k for k in fx.MATCH_KEY)},
-       h.n AS h_games_played_cumsum, h.wins AS h_wins_cumsum,
-       {SHARE.format(w="h.wins", n="h.n")} AS h_wins_pctg_cumsum,
-       v.n AS v_games_played_cumsum, v.wins AS v_wins_cumsum,
-       {SHARE.format(w="v.wins", n="v.n")} AS v_wins_pctg_cumsum
-FROM formed h JOIN formed v USING ({KEYS}) WHERE h.side = 'h' AND v.side = 'v'"""
+SELECT {KEYS},
+       hn AS h_games_played_cumsum, hw AS h_wins_cumsum, {SHARE.format(w="hw", n="hn")} AS h_wins_pctg_cumsum,
+       vn AS v_games_played_cumsum, vw AS v_wins_cumsum, {SHARE.format(w="vw", n="vn")} AS v_wins_pctg_cumsum
+FROM folded"""
 )
 
 

@@ -76,7 +76,7 @@ def _with_birth(spark, sf_dir, totals):
 
 def _first_name(totals):
     """The alphabetically first player of the newest season, as one looked up by name."""
-    row = totals.agg(F.max(F.struct("season", F.lit(1)))["season"].alias("s")).first()
+    row = totals.agg(F.max("season").alias("s")).first()
     return totals.filter(F.col("season") == row["s"]).agg(F.min("player_full_name")).first()[0]
 
 
@@ -312,12 +312,11 @@ def favourite_upsert(spark, sf_dir):
     "WITH"
     + fx.STANDINGS_WIDE_SQL
     + " SELECT team_name, strftime(date, '%Y-%m-%d') AS date, win_pctg FROM standings_wide"
-    " WHERE season_id >= 1998 AND team_name IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')",
+    " WHERE season_id >= 1998",
 )
 def win_pct_series(spark, sf_dir):
-    teams = ["NATION_1", "NATION_2", "NATION_3", "NATION_4"]
     standings = fx.standings_with_names(spark, sf_dir)
-    return iso_dates(serving.win_pct_series(standings, 1998, teams, season="season_id"))
+    return iso_dates(serving.win_pct_series(standings, 1998, season="season_id"))
 
 
 @query(
