@@ -1,7 +1,7 @@
 """Quality selection by importance resampling.
 
 Two generative models over hashed unigrams and bigrams: one of target text (a bounded sample of labelled good
-documents), one of all raw text. A document's log weight is the sum over its n-grams of the log ratio of the two. With
+documents), one of all raw text. A document's log weight is the mean over its n-grams of the log ratio of the two, times ``LENGTH``. With
 Gumbel noise added, seeded by the row key, the top k are a sample without replacement in proportion to the weights.
 k is the number of documents whose weight reaches the cut that best separates labelled good from bad ones. Target
 documents are weighed without their own n-grams, so that they are no better known than others.
@@ -22,6 +22,7 @@ from matchvault.llm.store import written
 BUCKET_BITS = 17
 LABELLED = 20_000  # labelled rows at most that the target model and the cut are fitted on
 PRIOR = float(1 << BUCKET_BITS)  # weight of the raw model in the target's smoothing, in n-grams
+LENGTH = 100  # n-grams to which a document's weight is brought, so that long texts are not judged by their length
 SEED = 13
 
 # Bytes by class: white space and control 0, letters, digits and bytes of longer characters 1, the rest 2.
@@ -100,7 +101,8 @@ class Model:
         for t in np.flatnonzero(np.isin(ids, self.ids)):
             own, count = np.unique(bucket[owner == t], return_counts=True)
             weight[t] = (self.ratio(own, count, count.sum()) * count).sum()
-        return np.bincount(owner, minlength=n), weight.astype(np.float64)
+        size = np.bincount(owner, minlength=n)
+        return size, weight / np.maximum(size, 1) * LENGTH
 
     @cached_property
     def ratios(self):
