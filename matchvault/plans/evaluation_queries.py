@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from matchvault.operators import evaluate, features, ml
@@ -230,9 +231,9 @@ def feature_importance(spark, sf_dir):
     """The features by importance, none negative, and what all of them add up to."""
     model, _ = trained(spark, sf_dir, ml.boosted_trees())
     found = ml.top_features(ml.feature_importance(model, NUMERIC, CATEGORICAL, spark))
-    total = found.agg(F.round(F.sum("feature_importance"), 6).alias("total"))
-    return found.crossJoin(F.broadcast(total)).select(
-        "feature", (F.col("feature_importance") >= 0).alias("not_negative"), "total"
+    total = F.sum("feature_importance").over(Window.partitionBy())  # one row per feature
+    return found.select(
+        "feature", (F.col("feature_importance") >= 0).alias("not_negative"), F.round(total, 6).alias("total")
     )
 
 
