@@ -76,13 +76,13 @@ def impacts(benchmark: DataFrame) -> DataFrame:
     questions = _lowered(keyed, "id", asked).mapInArrow(_item_terms, "id struct<item_id:long,h:long>, at long, term long")
     questions = questions.groupBy("id").agg(F.count("*").alias("asked"))
     lengths = words.groupBy("id").agg(F.count("*").alias("n"))
-    total = lengths.agg(F.count("*").alias("items"), F.avg("n").alias("mean"))
+    total = lengths.agg(F.count("*").alias("items"), F.avg("n").alias("mean")).first()
+    items, mean = F.lit(total["items"]), F.lit(total["mean"] or 1.0)
     tf = words.groupBy("id", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    # One row: the number of items and their mean length.
-    scored = tf.join(df, "term").join(lengths, "id").crossJoin(F.broadcast(total))
-    idf = F.log(1 + (F.col("items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    score = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n") / F.col("mean")))
+    scored = tf.join(df, "term").join(lengths, "id")
+    idf = F.log(1 + (items - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    score = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("n") / mean))
     scored = scored.withColumn("score", score)
     scored = scored.withColumn("impact", F.col("score") / F.sum("score").over(Window.partitionBy("id")))
     postings = scored.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "impact"))).alias("postings"))
