@@ -6,15 +6,14 @@ should hold, its rows are cut into chunks at quantiles of the order columns, the
 ``(key, chunk)``, and what earlier or later chunks contribute is carried in from one summary row per
 chunk. The result is the same row for row; only the work per task is bounded.
 
-Sizes: at most ``MAX_HOT`` keys are split, the largest ones, so a key left whole holds at most
-``1 / MAX_HOT`` of all rows. All split keys together get about ``MAX_CHUNKS`` chunks. Cut points and
-carried summaries therefore have at most ``MAX_HOT + MAX_CHUNKS`` rows at any data size (rounding up
-adds less than one chunk per hot key), which is why both may be broadcast.
+Sizes: a key of ``n`` rows gets ``n / rowsPerChunk`` chunks, however many keys are split and however many
+chunks that makes. Cut points and carried summaries are tables with about one entry per chunk. They are
+broadcast while their measured size allows (``BROADCAST_ROWS``, ``BROADCAST_BYTES``); beyond it they are
+joined by key, where Spark divides skewed partitions at run time.
 """
 
 from __future__ import annotations
 
-import math
 import tempfile
 from dataclasses import dataclass, replace
 
@@ -24,8 +23,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_CHUNK_CONF = "matchvault.scan.rowsPerChunk"
 ROWS_PER_CHUNK = 2_000_000
-MAX_HOT = 4096
-MAX_CHUNKS = 16384
+BROADCAST_ROWS = 1 << 20
+BROADCAST_BYTES = 64 << 20
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_chunk"
@@ -136,6 +135,7 @@ class OrderedScan:
     keys: tuple
     order: tuple
     split: bool
+    small: bool = True  # the cut points were measured and fit a broadcast
 
     @property
     def part(self):
@@ -159,7 +159,9 @@ class OrderedScan:
             )
         carried = self._carried(values)
         on = [local[k].eqNullSafe(carried[f"_c_{k}"]) for k in self.part]
-        joined = local.join(F.broadcast(carried), on, "left")
+        # One row per chunk, with keys as in the cut points; the values must have a known width too.
+        fixed = all(_fixed_width(carried.schema[f"_carry_{n}"].dataType) for n in values)
+        joined = local.join(F.broadcast(carried) if self.small and fixed else carried, on, "left")
         done = {
             n: v.finish(v.combine(F.col(n), F.col(f"_carry_{n}"))) for n, v in values.items()
         }
@@ -190,41 +192,33 @@ def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan
     spark = df.sparkSession
     limit = int(rows_per_chunk or spark.conf.get(ROWS_PER_CHUNK_CONF, str(ROWS_PER_CHUNK)))
     keys, order = tuple(keys), tuple(order)
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > limit)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT)
-        .collect()
-    )
-    if not hot:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    if sizes.isEmpty():
         return OrderedScan(df, keys, order, split=False)
-    cuts = _cut_points(df, keys, order, hot, limit)
-    if any(a == b for row in cuts for a, b in zip(row[_CUTS], row[_CUTS][1:])):
+    chunks = F.expr(f"(_rows + {limit - 1}) div {limit}").alias("_n")
+    hot = _written(sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_rows", chunks))
+    cuts = _cut_points(df, keys, order, hot)
+    if not cuts.filter(F.size(F.array_distinct(_CUTS)) < F.size(_CUTS)).isEmpty():
         # Copies of one moment fill more than a chunk. Number the rows so that they can be divided,
         # and write the numbers down: all uses have to see the same ones.
         df = _written(df.withColumn(TIE, F.monotonically_increasing_id()))
         order = (*order, TIE)
-        cuts = _cut_points(df, keys, order, hot, limit)
-    fields = [T.StructField(o, df.schema[o].dataType) for o in order]
-    if keys:
-        key_fields = [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
-        cut_field = T.StructField(_CUTS, T.ArrayType(T.StructType(fields)))
-        table = df.sparkSession.createDataFrame(cuts, T.StructType([*key_fields, cut_field]))
-        on = [df[k].eqNullSafe(table[f"_k_{k}"]) for k in keys]
-        tagged = df.join(F.broadcast(table), on, "left")
-        cut_col = F.col(_CUTS)
-    else:
-        tagged = df
-        cut_col = F.array(
-            *[
-                F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, cut)])
-                for cut in (cuts[0][0] if cuts else [])
-            ]
-        )
-    tagged = tagged.withColumn(CHUNK, _position(cut_col, F.struct(*order)))
-    return OrderedScan(tagged.select(*df.columns, CHUNK), keys, order, split=True)
+        cuts = _cut_points(df, keys, order, hot)
+    longest, total, size = cuts.agg(
+        F.max(F.size(_CUTS)), F.sum(F.size(_CUTS) + 1), F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    ).first()
+    small = (total or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+    # Without keys the table of cut points has one row.
+    on = [df[k].eqNullSafe(cuts[f"_k_{k}"]) for k in keys] or None
+    tagged = df.join(F.broadcast(cuts) if small or not keys else cuts, on, "left")
+    tagged = tagged.withColumn(CHUNK, _position(F.col(_CUTS), F.struct(*order), longest or 0))
+    return OrderedScan(tagged.select(*df.columns, CHUNK), keys, order, split=True, small=small)
+
+
+def _fixed_width(kind):
+    if isinstance(kind, T.StructType):
+        return all(_fixed_width(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
 
 
 def _written(df):
@@ -241,41 +235,36 @@ def _written(df):
     return df.checkpoint()
 
 
-def _cut_points(df, keys, order, hot, limit):
-    """One row per hot key with its sorted cut points, held on the driver so all uses agree."""
-    target = max(limit, math.ceil(sum(r["_rows"] for r in hot) / MAX_CHUNKS))
-    plan = []
-    for r in hot:
-        n = math.ceil(r["_rows"] / target)
-        plan.append((*[r[k] for k in keys], n, min(1.0, SAMPLES_PER_CHUNK * n / r["_rows"])))
+def _cut_points(df, keys, order, hot):
+    """One row per key of ``hot`` with its sorted cut points, written down so that all uses agree."""
     names = [f"_k_{k}" for k in keys]
     narrow = df.select(*dict.fromkeys([*keys, *order]))
+    rate = F.least(F.lit(1.0), SAMPLES_PER_CHUNK * F.col("_n") / F.col("_rows"))
+    plan = hot.withColumn("_p", rate).drop("_rows")
     if keys:
-        key_fields = [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
-        n_p = [T.StructField("_n", T.LongType()), T.StructField("_p", T.DoubleType())]
-        table = df.sparkSession.createDataFrame(plan, T.StructType([*key_fields, *n_p]))
-        on = [narrow[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-        picked = narrow.join(F.broadcast(table), on)
+        if plan.count() <= BROADCAST_ROWS and all(_fixed_width(plan.schema[n].dataType) for n in names):
+            plan = F.broadcast(plan)
+        picked = narrow.join(plan, [narrow[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     else:
-        n, p = plan[0]
+        n, p = plan.select("_n", "_p").first()
         picked = narrow.withColumns({"_n": F.lit(n), "_p": F.lit(p)})
     # The sample only places the cuts; every row is still scanned.
     picked = picked.filter(F.rand(17) < F.col("_p"))
     w = Window.partitionBy(*names)
     slot = lambda rn: F.floor((rn - 1) * F.col("_n") / F.col("_size"))
-    return (
+    cuts = (
         picked.withColumn("_rn", F.row_number().over(w.orderBy(*order)))
         .withColumn("_size", F.count(F.lit(1)).over(w))
         .filter((F.col("_rn") > 1) & (slot(F.col("_rn")) != slot(F.col("_rn") - 1)))
         .groupBy(*names)
         .agg(F.sort_array(F.collect_list(F.struct(*order))).alias(_CUTS))
-        .collect()
     )
+    return _written(cuts)
 
 
-def _position(cuts: Column, at: Column) -> Column:
+def _position(cuts: Column, at: Column, longest: int) -> Column:
     """How many cut points are <= ``at``, by binary search; NULL for a key that has none."""
-    powers = [1 << i for i in range(MAX_CHUNKS.bit_length(), -1, -1)]
+    powers = [1 << i for i in range(longest.bit_length(), -1, -1)]
     found = F.aggregate(
         F.array(*[F.lit(p) for p in powers]),
         F.lit(0),

@@ -101,3 +101,27 @@ def test_no_python_and_one_exchange_when_nothing_is_hot(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
     assert "Python" not in text
+
+
+def test_any_number_of_hot_keys_is_split(spark):
+    """More keys above the limit than any fixed number of split keys: each chunk stays within the limit."""
+    df = spark.range(15_000).selectExpr("id % 5000 AS k", "id AS t", "id % 7 AS v")
+    scan = ordered_scan(df, ["k"], ["t"], rows_per_chunk=2)
+    assert scan.split and scan.df.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0] <= 2
+    values = dict(n=sum_before(F.lit(1)), s=sum_through("v"), back=previous("v"))
+    plain = ordered_scan(df, ["k"], ["t"]).with_values(**values).rows()
+    assert rows(scan.with_values(**values).rows()) == rows(plain)
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_split_without_broadcast(spark, monkeypatch, keys):
+    """Cut points too large for a broadcast are joined by key, with the same result."""
+    from matchvault.operators import scan as module
+
+    df = spark.range(600).selectExpr("IF(id % 3 = 0, 'hot', cast(id % 50 AS string)) AS k", "id AS t", "cast(id % 7 AS string) AS v")
+    values = dict(back=previous("v"), known=last_known("v"))
+    plain = rows(ordered_scan(df, keys, ["t"]).with_values(**values).rows())
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    scan = ordered_scan(df, keys, ["t"], rows_per_chunk=20)
+    assert scan.split and not scan.small
+    assert rows(scan.with_values(**values).rows()) == plain
