@@ -18,6 +18,7 @@ from matchvault.llm import kernels
 REACH = 16
 MASK = 4
 GEAR = kernels.mix(np.arange(256, dtype=np.uint64), 5)
+HELD = 1 << 17  # chunks that a task remembers at most from the blocks it has read
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -45,13 +46,41 @@ def cut_points(data, offsets, least, most):
     return np.repeat(starts, pieces) + step * most
 
 
+class _Seen:
+    """Chunks that repeated within a block of this task, with the first place of each.
+
+    A chunk in a third of all documents repeats in every block; remembered, it goes on about once per task and
+    forms no hot group. Forgetting any of them changes no result, as a late chunk is one that has an earlier equal.
+    """
+
+    def __init__(self):
+        self.rows = np.zeros((4, 0), np.int64)
+
+    def earlier(self, d1, d2, doc, place):
+        """Which chunks have an equal one, earlier by document and place, among those remembered."""
+        known = self.rows
+        if not known.shape[1]:
+            return np.zeros(len(d1), bool)
+        at = np.minimum(np.searchsorted(known[0], d1), known.shape[1] - 1)
+        of = known[:, at]
+        return (of[0] == d1) & (of[1] == d2) & ((of[2] < doc) | ((of[2] == doc) & (of[3] < place)))
+
+    def add(self, *columns):
+        rows = np.concatenate([self.rows, np.stack(columns)], axis=1)
+        rows = rows[:, np.lexsort(rows[[3, 2, 0]])]
+        rows = rows[:, np.diff(rows[0], prepend=rows[0][:1] - 1) != 0]
+        self.rows = rows if rows.shape[1] <= HELD else np.zeros((4, 0), np.int64)
+
+
 def _chunked(least, most):
-    """Chunks with digests. Within a block only the first of equal chunks goes on; the others are marked late."""
+    """Chunks with digests. Within a block only the first of equal chunks goes on; the others are marked late, as
+    are those of which the task has seen an earlier copy."""
     names = ["doc_id", "version", "start", "end", "d1", "d2", "late"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches):
+        seen = _Seen()
         for batch in batches:
             ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
             for rows, data, offsets in kernels.blocks(batch):
@@ -72,6 +101,11 @@ def _chunked(least, most):
                 first = order[np.maximum.accumulate(np.where(np.concatenate([[True], new]), np.arange(len(order)), 0))]
                 late = np.zeros(len(starts), bool)
                 late[order] = (doc[order] != doc[first]) | (place[order] != place[first])
+                known = kernels.signed(d1), kernels.signed(d2), doc, place
+                twice = np.unique(first[late[order]])
+                late |= seen.earlier(*known)
+                if len(twice):
+                    seen.add(*(c[twice] for c in known))
                 own = kernels.mix(kernels.mix(doc.view(np.uint64)) ^ starts.astype(np.uint64), 9)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -1,6 +1,8 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from matchvault.llm import chunks, jaccard, simhash, suffixes
@@ -123,3 +125,35 @@ def test_block_tables_find_all_within_the_radius(spark):
     for radius in (1, 3):
         got = sorted((r.a, r.b) for r in simhash.within_radius(df, radius).collect())
         assert got == [(a, b) for a in known for b in known if a < b and bin((a ^ b) % (1 << 64)).count("1") <= radius]
+
+
+@pytest.mark.parametrize("held", [0, 3, 1 << 17])
+def test_chunks_seen_in_earlier_blocks_are_late(monkeypatch, held):
+    """However the texts are dealt into batches and whatever is forgotten, the same chunks repeat."""
+    monkeypatch.setattr(chunks, "HELD", held)
+    rng = np.random.default_rng(9)
+    lines = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 150)) for _ in range(12)]
+    texts = [(int(d), "".join(lines[int(i)] for i in rng.integers(0, 12, 5))) for d in rng.permutation(60)]
+
+    def repeated(size):
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in part], pa.int64()), pa.array([0] * len(part), pa.int32()), pa.array([t for _, t in part])],
+                names=["doc_id", "version", "text"],
+            )
+            for part in (texts[i : i + size] for i in range(0, len(texts), size))
+        ]
+        rows = [r for b in chunks._chunked(16, 256)[0](iter(batches)) for r in b.to_pylist()]
+        first = {}
+        for r in rows:
+            first[r["d1"], r["d2"]] = min(first.get((r["d1"], r["d2"]), (1 << 60,)), (r["doc_id"], r["start"]))
+        assert sum(r["late"] for r in rows) < len(rows)
+        return {(r["doc_id"], r["start"]) for r in rows if r["late"] or first[r["d1"], r["d2"]] < (r["doc_id"], r["start"])}, rows
+
+    whole, rows = repeated(60)
+    text, expected, met = dict(texts), set(), set()
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["start"])):
+        chunk = text[r["doc_id"]][r["start"] : r["end"]]
+        expected |= {(r["doc_id"], r["start"])} if chunk in met else set()
+        met.add(chunk)
+    assert whole == expected and all(repeated(size)[0] == expected for size in (1, 7, 20))
