@@ -28,6 +28,7 @@ CLASSED = 1 << 18  # at most so many tokens have a class above the lowest
 MAP_BITS = 24
 SKETCH = 8  # words of 64 bits; each token flips one bit, so two sketches differ in no more bits than the sets in tokens
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
+PLACES = 1024  # a set's tokens are counted on so many places, and two sets compared by their counts before whole sets meet
 BROADCAST = 1_000_000
 HELD = 1 << 22  # distinct tokens that a task counts at once
 
@@ -174,6 +175,44 @@ def _near(a, b, percent):
     return F.expr(f"({apart}) * {100 + percent} <= ({a}n + {b}n) * {100 - percent}")
 
 
+def _counted_places(batches):
+    """Per set, how many of its tokens fall on each place, as a byte each."""
+    for batch in batches:
+        column = batch.column("tokens")
+        first, tokens = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+        counts = []
+        for low, high in zip(first[:-1], first[1:], strict=True):
+            place = kernels.mix(tokens[low:high], 71) & np.uint64(PLACES - 1)
+            counts.append(np.minimum(np.bincount(place.astype(np.int64), minlength=PLACES), 127).astype(np.int8).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), batch.column("n"), pa.array(counts, pa.binary())], names=["node", "n", "counts"]
+        )
+
+
+def _reachable(sets, pairs, percent):
+    """The ``pairs`` whose counts per place differ by no more than the tokens in which the sets may differ.
+
+    A token that only one set has changes one count by one, so the sum of differences (of counts cut at 127, too) is
+    never more than the number of such tokens: no link is lost, and whole sets are shuffled for few other pairs.
+    """
+
+    def run(batches):
+        for batch in batches:
+            a, b = (
+                np.frombuffer(b"".join(batch.column(f"{x}_counts").to_pylist()), np.int8).reshape(-1, PLACES).astype(np.int16)
+                for x in "ab"
+            )
+            n = sum(np.asarray(batch.column(f"{x}_n"), dtype=np.int64) for x in "ab")
+            keep = np.abs(a - b).sum(axis=1) * (100 + percent) <= n * (100 - percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    counted = written(sets.mapInArrow(_counted_places, "node long, n int, counts binary"))
+    for x in "ab":
+        side = counted.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("counts").alias(f"{x}_counts"))
+        pairs = pairs.join(side, x)
+    return pairs.mapInArrow(run, "a long, b long").distinct()
+
+
 def _verified(texts, nodes, pairs, shared_of, width, percent):
     """The ``pairs(a, b)`` that pass every prefix filter and whose similarity reaches the bound.
 
@@ -190,7 +229,7 @@ def _verified(texts, nodes, pairs, shared_of, width, percent):
         keys = x if order == 1 else F.array_sort(F.transform(x, lambda t: F.xxhash64(t, F.lit(order))))
         return F.slice(keys, 1, F.size(x) - F.ceil(F.size(x) * percent / 100).cast("int") + 1)
 
-    both = pairs.join(a, "a").join(b, "b")
+    both = _reachable(sets, pairs, percent).join(a, "a").join(b, "b")
     fits = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
     for order in range(1, ORDERS):
         fits = fits & F.arrays_overlap(prefix(F.col("a_t"), order), prefix(F.col("b_t"), order))
