@@ -28,6 +28,7 @@ CLASSED = 1 << 18  # at most so many tokens have a class above the lowest
 MAP_BITS = 24
 SKETCH = 8  # words of 64 bits; each token flips one bit, so two sketches differ in no more bits than the sets in tokens
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
+HOT = 14  # frequency class, the log of a token's count, from which on its postings never meet in a window
 PLACES = 1024  # a set's tokens are counted on so many places, and two sets compared by their counts before whole sets meet
 BROADCAST = 1_000_000
 HELD = 1 << 22  # distinct tokens that a task counts at once
@@ -301,8 +302,15 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
         frame = frame.withColumns({"least": F.min(of).over(same), "most": F.max(of).over(same)})
         return frame.where("least < most").drop("least", "most")
 
-    split = several(postings, "node").distinct().join(roots, "node", "left")
-    split = several(split.withColumn("root", F.coalesce("root", "node")), "root")
+    def rooted(frame):
+        return frame.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # A hot token may stand in a third of all prefixes, mostly of one family: its roots are reduced on the map side.
+    hot = F.shiftrightunsigned("token", 58) >= HOT
+    split = several(rooted(several(postings.where(~hot), "node").distinct()), "root")
+    many = written(rooted(postings.where(hot).distinct()))
+    apart = many.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    split = split.unionByName(many.join(apart, "token", "left_semi").select(*split.columns))
     split = written(split.join(sketches, "node"))
     a, b = split.alias("a"), split.alias("b")
     # At the first token that a pair shares, all it shares stands at or after both places.

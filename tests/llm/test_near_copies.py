@@ -16,11 +16,30 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 120), 100), 200: 200, 201: 200}
 
 
-def test_jaccard_groups_agree_with_all_pairs(odd, odd_rows):
+@pytest.mark.parametrize("hot", [jaccard.HOT, 0])
+def test_jaccard_groups_agree_with_all_pairs(odd, odd_rows, hot, monkeypatch):
+    """On both paths of the postings: 0 makes every token a hot one."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
     got = jaccard.jaccard_groups(odd).drop("version").collect()
     assert sorted(map(tuple, got)) == sorted(brute.jaccard_components(odd_rows))
 
 
+def test_counts_per_place_lose_no_link(spark):
+    rng = np.random.default_rng(5)
+    sets = []
+    for i in range(40):
+        n = int(rng.integers(1, 3000))
+        tokens = rng.integers(0, 1 << 62, n)
+        other = tokens[int(n * rng.uniform(0, 0.3)) :]
+        sets += [(2 * i, np.unique(tokens).tolist()), (2 * i + 1, np.unique(other).tolist())]
+    df = spark.createDataFrame([(i, len(t), t) for i, t in sets], "node long, n int, tokens array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in range(80) for b in range(a + 1, 80)], "a long, b long")
+    got = {(r.a, r.b) for r in jaccard._reachable(df, pairs, 75).collect()}
+    own = {i: set(t) for i, t in sets}
+    linked = {(a, b) for a in own for b in own if a < b and 100 * len(own[a] & own[b]) >= 75 * len(own[a] | own[b])}
+    assert linked <= got and len(linked) >= 20 and len(got) < 500
+
+
 def test_jaccard_groups_with_repeated_rows_and_ids(repeated):
     got = jaccard.jaccard_groups(repeated)
     assert got.count() == repeated.count()
