@@ -31,7 +31,7 @@ SKETCHES = [f"s{i}" for i in range(SKETCH)]
 HOT = 14  # frequency class, the log of a token's count, from which on its postings never meet in a window
 PLACES = 1024  # a set's tokens are counted on so many places, and two sets compared by their counts before whole sets meet
 BROADCAST = 1_000_000
-HELD = 1 << 22  # distinct tokens that a task counts at once
+HELD = 1 << 20  # distinct tokens that a task counts at once
 
 
 def _nodes(first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
