@@ -4,7 +4,8 @@ Every passage of every text is a query. Impacts are divided by the item's own sc
 an item's BM25 mass that the passage holds, and one threshold suits items of any length. A passage whose terms' upper
 bounds (with one bound for all common terms together) stay below the threshold is passed over; the others are
 searched exactly. Hits are verified: enough
-of the item's question and of its answer must be near.
+of the item's question and of its answer, or of an item without that border as a whole, must be near: by its 3-grams,
+or by words in the same order inside a span of about its own length, which edited words do not break.
 """
 
 from __future__ import annotations
@@ -45,6 +46,31 @@ def _grams(term, width):
     return kernels.mix(out, 80 + width)
 
 
+def _in_order(part, impact, weight, term):
+    """Share of the ``weight`` of the words of ``part`` that stand in the same order in its own span of the terms.
+
+    The span is as long as the part and half as much again, and lies where most impact falls on neighbouring diagonals.
+    """
+    n = len(part)
+    spread = max(2, n // 2)
+    diagonal = np.zeros(len(term) + n + spread)
+    where = [np.flatnonzero(term == t) for t in part]
+    for i, at in enumerate(where):
+        diagonal[at - i + n] += impact[i]
+    sums = np.cumsum(np.append(0.0, diagonal))
+    low = int(np.argmax(sums[spread + 1 :] - sums[: -spread - 1])) - n
+    high = min(low + n + spread, len(term))
+    low = max(low, 0)
+    best = np.zeros(high - low + 1)
+    for at, w in zip(where, weight, strict=True):
+        at = at[(at >= low) & (at < high)] - low
+        if len(at):
+            step = best.copy()
+            step[at + 1] = np.maximum(step[at + 1], best[at] + w)
+            best = np.maximum.accumulate(step)
+    return float(best[-1] / weight.sum())
+
+
 def _lowered(df, id_col, text):
     return df.select(F.col(id_col).alias("id"), F.lower(F.coalesce(text, F.lit(""))).alias("text"))
 
@@ -65,7 +91,7 @@ def impacts(benchmark: DataFrame) -> DataFrame:
     """``(id, n, split, terms, postings)`` per test item of ``benchmark(item_id, text)`` that has a word.
 
     ``terms`` are its words in order, hashed; the first ``split`` are the question: up to the last question mark
-    with a word behind it, else three quarters. ``postings`` has each distinct term with its impact: BM25 over the
+    with a word behind it, else all. ``postings`` has each distinct term with its impact: BM25 over the
     item's own score. Document frequencies and lengths are of all items. Items of one id count as one each.
     """
     keyed = benchmark.withColumn("id", F.struct(F.col("item_id").cast("long").alias("item_id"), F.xxhash64("text").alias("h")))
@@ -88,8 +114,7 @@ def impacts(benchmark: DataFrame) -> DataFrame:
     postings = scored.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "impact"))).alias("postings"))
     ordered = words.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "term"))), lambda x: x["term"]).alias("terms"))
     out = ordered.join(postings, "id").join(lengths, "id").join(questions, "id", "left")
-    split = F.coalesce("asked", F.ceil(F.col("n") * 3 / 4)).cast("int")
-    return out.select("id.item_id", "n", F.when(split < F.col("n"), split).otherwise(F.col("n")).alias("split"), "terms", "postings")
+    return out.select("id.item_id", "n", F.coalesce("asked", "n").cast("int").alias("split"), "terms", "postings")
 
 
 class Index:
@@ -131,11 +156,15 @@ class Index:
         self.parts = []
         for r in rows:
             terms = np.array(r["terms"], dtype=np.int64).view(np.uint64)
-            both = []
-            for part in (terms[: r["split"]], terms[r["split"] :]):
-                width = min(GRAM, max(1, len(part)))
-                both.append((width, np.unique(_grams(part, width))))
-            self.parts.append(both)
+            mass = {p["term"]: p["impact"] for p in r["postings"]}
+            _, back, times = np.unique(terms, return_inverse=True, return_counts=True)
+            impact = np.array([mass[t] for t in r["terms"]]) / times[back]
+            cut = r["split"]
+            # Of a question or an answer alone, common words say little: words count by their impact.
+            pieces = [(terms[:cut], impact[:cut], impact[:cut]), (terms[cut:], impact[cut:], impact[cut:])]
+            if cut == r["n"]:
+                pieces = [(terms, impact, np.ones(len(terms)))]
+            self.parts.append([(*x, np.unique(_grams(x[0], min(GRAM, len(x[0]))))) for x in pieces])
 
     def lookup(self, term):
         """The list of each term, or -1."""
@@ -225,10 +254,12 @@ class Index:
                 yield int(t), item, score, max(low - step, first[t]), min(high + step, first[t + 1]), term
 
     def overlap(self, item, term):
-        """Shares of the item's question and answer grams that occur among the terms."""
-        return [
-            float(np.isin(grams, _grams(term, width)).mean()) if len(grams) else 1.0 for width, grams in self.parts[item]
-        ]
+        """Shares of the item's question and answer that occur among the terms; twice that of an item without both."""
+        shares = []
+        for part, impact, weight, grams in self.parts[item]:
+            share = float(np.isin(grams, _grams(term, min(GRAM, len(part)))).mean())
+            shares.append(max(share, _in_order(part, impact, weight, term)))
+        return shares[0], shares[-1]
 
 
 def indexes(benchmark: DataFrame, threshold: float) -> list[Index]:

@@ -28,6 +28,30 @@ def test_contaminated_passages(spark, odd_rows):
     assert sorted(r.doc_id for r in left.collect()) == sorted({i for i, _ in rows} - {1000, 1001})
 
 
+def _edited_items(rng, lengths):
+    """Items of these lengths, with a question mark in every other one, and texts that hold them with a tenth edited."""
+    items, texts = [], []
+    for i, n in enumerate(lengths):
+        words = [f"i{i}w{k}" for k in range(n)]
+        if i % 2:
+            words[n // 2] += "?"
+        items.append((i, " ".join(words)))
+        for k in rng.choice(n, max(1, n // 10), replace=False):
+            words[k] = "edited?" if words[k].endswith("?") else "edited"
+        before, after = (" ".join(f"f{x}" for x in rng.integers(0, 500, rng.integers(0, 150))) for _ in range(2))
+        texts.append((i, f"{before} {' '.join(words)} {after}"))
+    return items, texts
+
+
+def test_edited_copies_of_items_of_every_length_are_found(spark):
+    items, texts = _edited_items(np.random.default_rng(5), range(8, 61))
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    halves = [(1000 + i, t.split("?")[0]) for i, t in items if "?" in t]
+    found = decontaminate.contaminated(frame(spark, [*texts, *halves]), tests).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i, _ in items}
+    assert all(r.question_overlap == r.answer_overlap for r in found if r.item_id % 2 == 0)
+
+
 def test_search_finds_every_item_above_the_threshold(spark):
     rng = np.random.default_rng(2)
     tests = spark.createDataFrame(
