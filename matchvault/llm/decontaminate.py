@@ -21,8 +21,8 @@ from matchvault.llm.store import written
 K1, B = 1.2, 0.75
 POSTINGS_PER_BLOCK = 64
 RANGE = 8  # neighbouring items that share a bound when passages are passed over
-ITEMS = 20_000  # test items per index; more items make more indexes, each searched in a pass of its own
-LEAST_PASSAGE = 64  # words; longer where an item is
+ITEMS = 20_000  # test items per pass over the texts, in one index for each length class; more items, more passes
+SHORT = 64  # words; items up to so many form one length class, then each class reaches twice as far
 GRAM = 3
 PUNCTUATION = np.ones(256, bool)
 PUNCTUATION[128:] = False
@@ -118,12 +118,17 @@ def impacts(benchmark: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Inverted lists in blocks, with the largest impact of each list and block, and the items' grams."""
+    """Inverted lists in blocks, with the largest impact of each list and block, and the items' grams.
+
+    Passages are two steps long and begin at every step. A step is the longest item and a quarter more, so that every
+    copy lies whole in some passage wherever it stands, also with some words inserted.
+    """
 
     def __init__(self, rows, threshold):
         self.threshold = threshold
         self.items = [r["item_id"] for r in rows]
-        self.passage = max([LEAST_PASSAGE, *(r["n"] for r in rows)])
+        longest = max([SHORT, *(r["n"] for r in rows)])
+        self.step = longest + longest // 4
         lists = {}
         for i, r in enumerate(rows):
             for p in r["postings"]:
@@ -226,10 +231,9 @@ class Index:
             alive = [i for i in alive if at[i] < len(lists[i][0])]
         return found
 
-    def passages(self, data, offsets):
+    def passages(self, term, first):
         """``(text, item, score, low, high)``: passages of a block that reach the threshold, as ranges of terms."""
-        term, first = _terms(data, offsets)
-        step = self.passage // 2
+        step = self.step
         n = np.diff(first)
         halves = -(-n // step)
         half_of = np.concatenate([[0], np.cumsum(halves)])
@@ -251,7 +255,7 @@ class Index:
             wanted = wanted[wanted >= 0]
             wanted = wanted.tolist()
             for item, score in self.search(wanted) if wanted and self.within_reach(wanted) else ():
-                yield int(t), item, score, max(low - step, first[t]), min(high + step, first[t + 1]), term
+                yield int(t), item, score, low, high
 
     def overlap(self, item, term):
         """Shares of the item's question and answer that occur among the terms; twice that of an item without both."""
@@ -262,23 +266,39 @@ class Index:
         return shares[0], shares[-1]
 
 
+def _classes(rows, threshold):
+    """One index for each length class of the items."""
+    classes = {}
+    for r in rows:
+        classes.setdefault(max(r["n"] - 1, SHORT - 1).bit_length(), []).append(r)
+    return [Index(classes[c], threshold) for c in sorted(classes)]
+
+
 def indexes(benchmark: DataFrame, threshold: float) -> list[Index]:
-    """Indexes of at most ``ITEMS`` items each; an item's postings are in one of them only."""
+    """Indexes of items of one length class, of at most about ``ITEMS`` each; an item's postings are in one only."""
+    return [index for some in _passes(benchmark, threshold) for index in some]
+
+
+def _passes(benchmark, threshold):
+    """The indexes that are searched in one pass over the texts, for each pass."""
     rows = impacts(benchmark)
     parts = max(1, -(-rows.count() // ITEMS))
     if parts == 1:
         found = rows.orderBy("item_id").collect()
-        return [Index(found, threshold)] if found else []
+        return [_classes(found, threshold)] if found else []
     rows = written(rows.withColumn("part", F.pmod(F.hash("terms"), F.lit(parts))))
-    return [Index(rows.where(F.col("part") == p).orderBy("item_id").collect(), threshold) for p in range(parts)]
+    return [_classes(rows.where(F.col("part") == p).orderBy("item_id").collect(), threshold) for p in range(parts)]
 
 
-def _hits(index, overlap, data, offsets):
+def _hits(some, overlap, data, offsets):
+    """``{(text, index, item): (score, question, answer)}`` of a block."""
     best = {}
-    for t, item, score, low, high, term in index.passages(data, offsets):
-        question, answer = index.overlap(item, term[low:high])
-        if question >= overlap and answer >= overlap:
-            best[t, item] = max(best.get((t, item), (0.0,)), (score, question, answer))
+    term, first = _terms(data, offsets)
+    for i, index in enumerate(some):
+        for t, item, score, low, high in index.passages(term, first):
+            question, answer = index.overlap(item, term[low:high])
+            if question >= overlap and answer >= overlap:
+                best[t, i, item] = max(best.get((t, i, item), (0.0,)), (score, question, answer))
     return best
 
 
@@ -286,23 +306,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold=0.6, overlap=0
     """``(doc_id, item_id, score, question_overlap, answer_overlap)``: test items found in ``docs(doc_id, text)``.
 
     One row per row of ``docs`` and item, with the best passage's scores. Null and empty texts, and items without
-    words, give none. Passages are as long as the longest item (at least ``LEAST_PASSAGE`` words) and overlap by
-    half. Words are compared in lower case, without punctuation.
+    words, give none. Items are searched by length class, in passages of two steps (see ``Index``). Words are compared
+    in lower case, without punctuation.
     """
     spark = docs.sparkSession
     texts = _lowered(docs, "doc_id", F.col("text"))
     out = None
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    for index in indexes(benchmark, threshold):
-        shared = spark.sparkContext.broadcast(index)
+    for some in _passes(benchmark, threshold):
+        shared = spark.sparkContext.broadcast(some)
 
         def run(batches, shared=shared):
             for batch in batches:
                 for rows, data, offsets in kernels.blocks(batch):
                     best = _hits(shared.value, overlap, data, offsets)
                     if best:
-                        ids = batch.column("id")[rows].take(pa.array([t for t, _ in best]))
-                        items = pa.array([shared.value.items[i] for _, i in best], pa.int64())
+                        ids = batch.column("id")[rows].take(pa.array([t for t, _, _ in best]))
+                        items = pa.array([shared.value[i].items[item] for _, i, item in best], pa.int64())
                         scores = [pa.array(c, pa.float64()) for c in zip(*best.values(), strict=True)]
                         yield pa.RecordBatch.from_arrays(
                             [ids.cast(pa.int64()), items, *scores],
@@ -317,14 +337,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold=0.6, overlap=0
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold=0.6, overlap=0.6) -> DataFrame:
     """``docs`` less the rows that hold a test item; nothing is shuffled."""
     names = docs.columns
-    for index in indexes(benchmark, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    for some in _passes(benchmark, threshold):
+        shared = docs.sparkSession.sparkContext.broadcast(some)
 
         def run(batches, shared=shared):
             for batch in batches:
                 for rows, data, offsets in kernels.blocks(batch, "_text"):
                     keep = np.ones(len(offsets) - 1, bool)
-                    keep[[t for t, _ in _hits(shared.value, overlap, data, offsets)]] = False
+                    keep[[t for t, _, _ in _hits(shared.value, overlap, data, offsets)]] = False
                     part = batch.slice(rows.start, rows.stop - rows.start).filter(pa.array(keep))
                     yield part.select(names)
 

@@ -52,6 +52,21 @@ def test_edited_copies_of_items_of_every_length_are_found(spark):
     assert all(r.question_overlap == r.answer_overlap for r in found if r.item_id % 2 == 0)
 
 
+def test_copies_are_found_at_every_offset_also_beside_a_long_item(spark):
+    # Few rare words at both ends carry the weight; the other words are common to many items.
+    items = [(0, " ".join([f"a0x{k}" for k in range(20)] + [f"c{k % 58}" for k in range(600)] + [f"b0x{k}" for k in range(20)]))]
+    items += [(i, " ".join([f"a{i}x{k}" for k in range(3)] + [f"c{(i + k) % 58}" for k in range(58)] + [f"b{i}x{k}" for k in range(3)])) for i in range(1, 60)]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(1000 * i + at, "far " * at + items[i][1] + " away" * 40) for i in (0, 7) for at in range(0, 80, 3)]
+    # 3-grams of a short item, torn apart by more words than any passage of its class has, are no copy of it.
+    torn = [" ".join(f"torn{k}" for k in range(j, j + 3)) for j in range(0, 24, 3)]
+    tests = tests.unionByName(spark.createDataFrame([(99, " ".join(torn))], "item_id long, text string"))
+    texts.append((99, (" far" * 60 + " ").join(torn)))
+    found = decontaminate.contaminated(frame(spark, texts), tests)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i // 1000) for i, _ in texts if i != 99}
+    assert found.where("score < 0.999 OR question_overlap < 1").count() == 0
+
+
 def test_search_finds_every_item_above_the_threshold(spark):
     rng = np.random.default_rng(2)
     tests = spark.createDataFrame(
