@@ -181,10 +181,14 @@ class Index:
         return out
 
     def within_reach(self, wanted):
-        """Whether some range of items could reach the threshold from the lists ``wanted``."""
+        """Whether some range of items could reach the threshold from the lists ``wanted``, and then some item does."""
         place = np.concatenate([self.ranges[t][0] for t in wanted])
         most = np.concatenate([self.ranges[t][1] for t in wanted])
-        return np.bincount(place, weights=most).max() >= self.threshold - 1e-9
+        if np.bincount(place, weights=most).max() < self.threshold - 1e-9:
+            return False
+        items = np.concatenate([self.lists[t][0] for t in wanted])
+        impact = np.concatenate([self.lists[t][1] for t in wanted])
+        return np.bincount(items, weights=impact).max() >= self.threshold - 1e-9
 
     def search(self, wanted):
         """``(item, score)`` of every item whose impacts over the lists ``wanted`` add up to the threshold.
