@@ -13,6 +13,7 @@ from matchvault.llm.resample import resampled
 from matchvault.llm.ring import bounded_shards
 from matchvault.llm.secrets_scan import listed, secret_spans
 from matchvault.llm.simhash import as_text, edited_fingerprints, likeness, within_radius
+from matchvault.llm.spelling import damaged, letter_runs, spelling_forms, word_counts
 from matchvault.llm.store import small_batches, written
 from matchvault.llm.suffixes import repeated_spans, without_spans
 
@@ -121,3 +122,9 @@ def op5_sampled_pieces(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("lossless"),
     )
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, sf_dir):
+    runs = letter_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling_forms(word_counts(damaged(runs, 199)))

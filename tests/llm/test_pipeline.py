@@ -18,4 +18,4 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
