@@ -8,6 +8,7 @@ from matchvault.llm.chunks import repeated_chunks
 from matchvault.llm.decontaminate import contaminated
 from matchvault.llm.hyperlang import predict_language, prototypes
 from matchvault.llm.jaccard import jaccard_groups
+from matchvault.llm.periodic import collapse_runs, looped
 from matchvault.llm.pieces import decode, encode
 from matchvault.llm.resample import resampled
 from matchvault.llm.ring import bounded_shards
@@ -128,3 +129,18 @@ def op5_sampled_pieces(spark, sf_dir):
 def op13_spelling_variants(spark, sf_dir):
     runs = letter_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return spelling_forms(word_counts(damaged(runs, 199)))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    found = collapse_runs(looped(table(spark, sf_dir, "documents")))
+    # The greatest length, then the smallest start and period.
+    top = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    found = found.withColumn("top", top)
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.expr("top.start").alias("start"),
+        F.expr("-top.col1").alias("length"), F.expr("top.period").alias("period"),
+        F.expr("(1000 * -top.col1) div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
