@@ -8,6 +8,7 @@ from matchvault.llm.chunks import repeated_chunks
 from matchvault.llm.decontaminate import contaminated
 from matchvault.llm.hyperlang import predict_language, prototypes
 from matchvault.llm.jaccard import jaccard_groups
+from matchvault.llm.kneser_ney import score, train
 from matchvault.llm.periodic import collapse_runs, looped
 from matchvault.llm.pieces import decode, encode
 from matchvault.llm.resample import resampled
@@ -144,3 +145,14 @@ def op12_periodic_runs(spark, sf_dir):
         F.expr("(1000 * -top.col1) div top.period").alias("exponent_milli"),
         F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_kneser_ney_score")
+def op11_kneser_ney_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    model = train(docs.where(~held_out))
+    return score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
