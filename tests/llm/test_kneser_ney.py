@@ -38,18 +38,20 @@ class Brute:
             after = defaultdict(list)
             for g, c in grams.items():
                 after[g[:-1]].append(c)
-            self.levels[level] = grams, after
+            self.levels[level] = grams, {c: (sum(n), sum(map(self.less(level), n))) for c, n in after.items()}
             grams = Counter(g[1:] for g in grams)
 
+    def less(self, level):
+        return lambda c: self.lost[level][min(c, 3) - 1] if c else 0
+
     def p(self, context, word):
         level = len(context) + 1
         lower = self.p(context[1:], word) if context else 1 / (self.v + 1)
         grams, after = self.levels[level]
         if context not in after:
             return lower
-        lost = lambda c: self.lost[level][min(c, 3) - 1] if c else 0
-        c = grams.get((*context, word), 0)
-        return (max(c - lost(c), 0) + sum(map(lost, after[context])) * lower) / sum(after[context])
+        c, (total, left) = grams.get((*context, word), 0), after[context]
+        return (max(c - self.less(level)(c), 0) + left * lower) / total
 
     def row(self, text):
         own = tokens(text)
@@ -64,8 +66,7 @@ def close(got, expected):
     np.testing.assert_allclose([r[2:] for r in got], [r[2:] for r in expected], rtol=1e-9)
 
 
-def test_query_agrees_with_dictionaries(spark, monkeypatch):
-    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 100_000)
+def test_query_agrees_with_dictionaries(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     out = [zlib.crc32(str(r.doc_id).encode()) % 5 == 1 for r in rows]
     model = Brute([r.text for r, o in zip(rows, out, strict=True) if not o], 3)
