@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 
-BUCKET = 8
+BUCKET = 16
 
 
 def _common(values: np.ndarray):

@@ -28,10 +28,10 @@ from matchvault.llm.store import shared_folder, written
 
 START, END = 0x5DEECE66D1234567, 0x2545F4914F6CDD1D
 FLUSH = 3 << 19  # tokens that a task reduces at once
-BLOCK = 1 << 22  # bytes of text scored at once
+BLOCK = 1 << 23  # bytes of text scored at once
 SHARD_BYTES = 16 << 20  # text whose n-grams go to one shard
-SHORT = 65_535  # the commonest words are sent in two bytes; a matter of size only
-OFTEN = 16
+SHORT = (1 << 20) - 1  # so many of the commonest words are sent by their rank, not their hash; a matter of size only
+OFTEN = 4
 ROW = "level int, shard int, packed binary"
 SCHEMA = pa.schema([("level", pa.int32()), ("shard", pa.int32()), ("packed", pa.binary())])
 
@@ -49,20 +49,19 @@ class Model:
     discounts: tuple  # by level from 1: what a count of 1, 2, 3 or more loses
 
 
-def gram_keys(columns) -> list[np.ndarray]:
-    """The key of the first word, the first two, ... of n-grams given as one column for each word."""
-    key, out = np.zeros(len(columns[0]), dtype=np.uint64), []
+def gram_keys(columns):
+    """``(contexts, keys)`` of n-grams given as one column for each word: of all words but the last, and of all."""
+    key = np.zeros(len(columns[0]), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for c in columns:
-            key = kernels.mix(key * np.uint64(kernels.BASE) + c, 41)
-            out.append(key)
-    return out
+            context, key = key, kernels.mix(key * np.uint64(kernels.BASE) + c, 41)
+    return context if len(columns) > 1 else key, key
 
 
-def _home(keys, shards):
+def _home(contexts, shards):
     """The shard of each n-gram: that of its context, or its own where there is none."""
-    key = kernels.mix(keys[max(len(keys) - 2, 0)], 43) >> np.uint64(32)
-    return ((key * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+    key = kernels.mix(contexts, 43) >> np.uint64(32)
+    return ((key * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
 
 
 def _stream(data, offsets, order):
@@ -82,77 +81,90 @@ def _stream(data, offsets, order):
 
 
 def _summed(columns, counts):
-    """Distinct n-grams with their counts summed, in ascending order of their keys, and those keys."""
-    keys = gram_keys(columns)
-    order = np.argsort(keys[-1])
-    key = keys[-1][order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = key[1:] != key[:-1]
-    at = np.flatnonzero(new)
+    """``(columns, counts, contexts, keys)`` of the distinct n-grams, in ascending order of keys, counts summed."""
+    contexts, keys = gram_keys(columns)
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
     counts = np.add.reduceat(counts[order], at) if len(at) else counts
     one = order[at]
-    return [c[one] for c in columns], counts, [k[one] for k in keys]
-
-
-def _pack(columns, counts, short):
-    """Columns of word hashes and their counts as compressed bytes. ``short``: sorted hashes and their two-byte names."""
-    names = []
-    for c in columns:
-        name = np.full(len(c), SHORT, dtype=np.uint16)
-        if len(short[0]):
-            at = np.minimum(np.searchsorted(short[0], c), len(short[0]) - 1)
-            name = np.where(short[0][at] == c, short[1][at], name)
-        names.append(name)
+    return [c[one] for c in columns], counts, contexts[one], keys[at]
+
+
+def _names(column, short):
+    """The rank of each word hash among the commonest words, ``SHORT`` for others. ``short``: sorted hashes, their ranks."""
+    words, back = np.unique(column, return_inverse=True)
+    names = np.full(len(words), SHORT, dtype=np.uint32)
+    if len(short[0]):
+        at = np.minimum(np.searchsorted(short[0], words), len(short[0]) - 1)
+        names = np.where(short[0][at] == words, short[1][at], names)
+    return names[back]
+
+
+def _planes(values, n):
+    """The lowest ``n`` bytes of each value, first all lowest ones, then all second ones, and so on."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize)[:, :n].T.tobytes()
+
+
+def _values(raw, at, rows, n, kind):
+    out = np.zeros((rows, np.dtype(kind).itemsize), dtype=np.uint8)
+    out[:, :n] = np.frombuffer(raw, np.uint8, n * rows, at).reshape(n, rows).T
+    return out.view(kind).ravel()
+
+
+def _pack(columns, names, counts):
+    """Columns of word hashes with their names, and counts, as compressed bytes."""
     if len(columns) == 1:
         order = np.lexsort([columns[0], names[0]])
     else:
-        order = np.argsort(functools.reduce(lambda key, name: key << np.uint64(16) | name, names[1:4], names[0].astype(np.uint64)))
+        order = np.argsort(functools.reduce(lambda key, name: key << np.uint64(20) | name, names[1:3], names[0].astype(np.uint64)))
     parts = []
-    for i, (c, name) in enumerate(zip(columns, names, strict=True)):
+    for column, name in zip(columns, names, strict=True):
         name = name[order]
-        rest = c[order][name == SHORT]
-        if i == 0 and len(columns) == 1:
+        rest = column[order][name == SHORT]
+        if len(columns) == 1:
             rest = np.diff(rest, prepend=np.uint64(0))
-        parts += [name.view(np.uint8).reshape(-1, 2).T.tobytes(), rest.view(np.uint8).reshape(-1, 8).T.tobytes()]
+        parts += [_planes(name, 3), _planes(rest, 8)]
     counts = counts[order]
     parts += [np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].tobytes()]
     raw = b"".join(parts)
     return struct.pack("<iiq", len(columns), len(counts), len(raw)) + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
-def _unpack(blob, long_names):
-    """Reverse of ``_pack``; ``long_names`` has the hash of each two-byte name."""
-    width, n, size = struct.unpack_from("<iiq", blob)
-    raw = pa.Codec("zstd").decompress(memoryview(blob)[16:], size, asbytes=True)
-    at, columns = 0, []
-    for i in range(width):
-        name = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 2 * n, at).reshape(2, n).T).view(np.uint16).ravel()
-        at += 2 * n
-        apart = name == SHORT
-        m = int(apart.sum())
-        rest = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * m, at).reshape(8, m).T).view(np.uint64).ravel()
-        at += 8 * m
-        if i == 0 and width == 1:
-            rest = np.cumsum(rest, dtype=np.uint64)
-        column = np.empty(n, dtype=np.uint64)
-        column[apart] = rest
-        if m < n:
-            column[~apart] = long_names[name[~apart]]
-        columns.append(column)
-    counts = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
-    at += n
-    counts[counts == 255] = np.frombuffer(raw, np.int64, int((counts == 255).sum()), at)
+def _unpack(blobs, long_names):
+    """Reverse of ``_pack`` for some of its results at once; ``long_names`` has the hash of each rank."""
+    heads = [struct.unpack_from("<iiq", b) for b in blobs]
+    total = sum(h[1] for h in heads)
+    columns, counts, begin = [np.empty(total, np.uint64) for _ in range(heads[0][0])], np.empty(total, np.int64), 0
+    for blob, (width, n, size) in zip(blobs, heads, strict=True):
+        raw = pa.Codec("zstd").decompress(memoryview(blob)[16:], size, asbytes=True)
+        at, here = 0, slice(begin, begin + n)
+        for column in columns:
+            name = _values(raw, at, n, 3, np.uint32)
+            at += 3 * n
+            apart = name == SHORT
+            m = int(apart.sum())
+            rest = _values(raw, at, m, 8, np.uint64)
+            at += 8 * m
+            if width == 1:
+                rest = np.cumsum(rest, dtype=np.uint64)
+            column[here][apart] = rest
+            column[here][~apart] = long_names[name[~apart]]
+        some = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
+        some[some == 255] = np.frombuffer(raw, np.int64, int((some == 255).sum()), at + n)
+        counts[here] = some
+        begin += n
     return columns, counts
 
 
-def _parcels(level, columns, counts, keys, shards, short):
+def _parcels(level, columns, counts, contexts, shards, short):
     """One row of packed n-grams for each shard that gets any."""
-    home = _home(keys, shards)
+    home, names = _home(contexts, shards), [_names(c, short) for c in columns]
     order = np.argsort(home, kind="stable")
     bounds = np.flatnonzero(np.diff(home[order], prepend=-1, append=shards))
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
         one = order[low:high]
-        yield level, int(home[one[0]]), _pack([c[one] for c in columns], counts[one], short)
+        yield level, int(home[one[0]]), _pack([c[one] for c in columns], [x[one] for x in names], counts[one])
 
 
 def _batches(rows):
@@ -165,21 +177,23 @@ def _counted(order, shards, level, short):
     """The distinct n-grams of a task's texts, packed for the shards of ``level``."""
 
     def flushed(held):
-        columns, counts = held
-        columns, counts, keys = _summed(columns, counts)
-        yield from _parcels(level, columns, counts, keys, shards, short.value)
+        columns = [np.concatenate(held.pop(0)) for _ in range(order)]
+        columns, counts, contexts, _ = _summed(columns, np.ones(len(columns[0]), np.int64))
+        return _batches(_parcels(level, columns, counts, contexts, shards, short.value))
 
     def run(batches):
-        held = [[np.zeros(0, np.uint64)] for _ in range(order)]
+        held, n = [[] for _ in range(order)], 0
         for batch in batches:
-            for _, data, offsets in kernels.blocks(batch, limit=BLOCK):
+            for _, data, offsets in kernels.blocks(batch, limit=BLOCK >> 1):
                 words, at, _ = _stream(data, offsets, order)
                 for i in range(order):
                     held[i].append(words[at - (order - 1) + i])
-                if sum(map(len, held[0])) >= FLUSH:
-                    yield from _batches(flushed(([np.concatenate(h) for h in held], np.ones(sum(map(len, held[0])), np.int64))))
-                    held = [[np.zeros(0, np.uint64)] for _ in range(order)]
-        yield from _batches(flushed(([np.concatenate(h) for h in held], np.ones(sum(map(len, held[0])), np.int64))))
+                n += len(at)
+                if n >= FLUSH:
+                    yield from flushed(held)
+                    held, n = [[] for _ in range(order)], 0
+        if n:
+            yield from flushed(held)
 
     return run
 
@@ -205,23 +219,22 @@ def _stored(folder, level, shards, short):
     """Write the arrays of each shard of ``level``; pass on its n-grams without their first word, and its totals."""
 
     def rows(batches):
-        long_names = np.zeros(SHORT, dtype=np.uint64)
+        long_names = np.zeros(len(short.value[0]), dtype=np.uint64)
         long_names[short.value[1]] = short.value[0]
         for shard, blobs in _by_shard(batches, level):
             if shard is None:
                 yield blobs["level"], blobs["shard"], blobs["packed"]
                 continue
-            parts = [_unpack(b, long_names) for b in blobs]
-            columns = [np.concatenate([p[0][i] for p in parts]) for i in range(len(parts[0][0]))]
-            columns, counts, keys = _summed(columns, np.concatenate([p[1] for p in parts]))
-            del parts, blobs
-            arrays = [hasharray.packed(keys[-1], counts[:, None])]
+            columns, counts = _unpack(blobs, long_names)
+            blobs.clear()
+            columns, counts, contexts, keys = _summed(columns, counts)
+            arrays = [hasharray.packed(keys, counts[:, None])]
             if level > 1:
-                context = keys[-2]
-                order = np.argsort(context)
-                at = np.flatnonzero(np.diff(context[order], prepend=~context[order[:1]]) != 0)
+                order = np.argsort(contexts)
+                ordered = contexts[order]
+                at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
                 sums = [np.add.reduceat(x[order].astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts > 2)]
-                arrays.append(hasharray.packed(context[order][at], np.stack(sums, axis=1)))
+                arrays.append(hasharray.packed(ordered[at], np.stack(sums, axis=1)))
             hasharray.store(f"{folder}/{level}-{shard}", *arrays)
             few = np.bincount(np.minimum(counts, 5), minlength=5)[1:5]
             yield -1 - level, shard, np.array([counts.sum(), len(counts), *few], dtype=np.int64).tobytes()
@@ -229,15 +242,15 @@ def _stored(folder, level, shards, short):
             if level == 0 and often.any():
                 yield 0, shard, np.concatenate([columns[0][often], counts[often].astype(np.uint64)]).tobytes()
             elif level > 1:
-                columns, counts, keys = _summed(columns[1:], np.ones(len(counts), np.int64))
-                yield from _parcels(level - 1, columns, counts, keys, shards, short.value)
+                columns, counts, contexts, _ = _summed(columns[1:], np.ones(len(counts), np.int64))
+                yield from _parcels(level - 1, columns, counts, contexts, shards, short.value)
 
     return lambda batches: _batches(rows(batches))
 
 
 def _dealt(parcels, shards):
     """Rows by shard. A shard's rows meet in one task and come one shard after the other."""
-    return parcels.repartition(-(-shards // 4), "shard").sortWithinPartitions("shard")
+    return parcels.repartition(-(-shards // 3), "shard").sortWithinPartitions("shard")
 
 
 def _totals(rows: pa.Table, level) -> list[int]:
@@ -282,14 +295,14 @@ def train(docs: DataFrame, order=3, text_col="text", shard_bytes=SHARD_BYTES) ->
     size = texts.agg(F.sum(F.octet_length("text") + 1).cast("long")).first()[0] or 0
     shards = -(-size // shard_bytes) or 1
     folder = f"{shared_folder(spark).rstrip('/')}/matchvault-lm-{uuid.uuid4().hex}"
-    none = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.uint16)))
+    none = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.uint32)))
     found = _dealt(texts.mapInArrow(_counted(1, shards, 0, none), ROW), shards)
     found = written(found.mapInArrow(_stored(folder, 0, shards, none), ROW))
     tokens, words = _totals(found.where("level = -1").toArrow(), 0)[:2]
-    often = found.where("level = 0").mapInArrow(_frequent(tokens >> 18), "word long, n long")
+    often = found.where("level = 0").mapInArrow(_frequent(tokens >> 23), "word long, n long")
     often = often.orderBy(F.desc("n"), "word").limit(SHORT).toArrow()["word"].to_numpy().view(np.uint64)
     by_hash = np.argsort(often)
-    short = spark.sparkContext.broadcast((often[by_hash], by_hash.astype(np.uint16)))
+    short = spark.sparkContext.broadcast((often[by_hash], by_hash.astype(np.uint32)))
     found = texts.mapInArrow(_counted(order, shards, order, short), ROW)
     for level in range(order, 0, -1):
         found = _dealt(found, shards).mapInArrow(_stored(folder, level, shards, short), ROW)
@@ -300,13 +313,11 @@ def train(docs: DataFrame, order=3, text_col="text", shard_bytes=SHARD_BYTES) ->
     return Model(folder, order, shards, tokens, words, totals, tuple(_discounts(s[2:]) for s in sums))
 
 
-def _lookups(model, columns, level, held):
-    """``(counts, contexts)`` of n-grams in the arrays of ``level``: a row for each, zeros where there is none."""
-    keys = gram_keys(columns)
-    home = _home(keys, model.shards)
-    order = np.argsort((home.astype(np.uint64) << np.uint64(44)) | (keys[-1] >> np.uint64(20)))
-    counts = np.zeros(len(order), dtype=np.int64)
-    contexts = np.zeros((len(order), 4), dtype=np.int64)
+def _by_home(model, level, columns, held):
+    """``(places, counts, contexts)`` for the n-grams of one shard of ``level`` after the other: what its arrays say."""
+    contexts, keys = gram_keys(columns)
+    home = _home(contexts, model.shards)
+    order = np.argsort((home.astype(np.uint64) << np.uint64(44)) | (keys >> np.uint64(20)))
     bounds = np.flatnonzero(np.diff(home[order], prepend=-1, append=model.shards))
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
         one = order[low:high]
@@ -316,24 +327,26 @@ def _lookups(model, columns, level, held):
                 held.clear()
             held[at] = hasharray.load(f"{model.folder}/{at[0]}-{at[1]}", 1 if level < 2 else 2)
         if held[at]:
-            counts[one] = held[at][0].rows(keys[-1][one])[:, 0]
-            if level > 1:
-                contexts[one] = held[at][1].rows(keys[-2][one])
-    return counts, contexts
+            yield one, held[at][0].rows(keys[one])[:, 0], held[at][1].rows(contexts[one]) if level > 1 else None
 
 
 def _likelihoods(model, words, at, held):
     """The probability of the word at each of the places ``at``, given the words before it."""
-    columns = [words[at - (model.order - 1) + i] for i in range(model.order)]
     p = np.full(len(at), 1.0 / (model.words + 1))
     for level in range(1, model.order + 1):
-        counts, contexts = _lookups(model, columns[model.order - level :], level, held)
-        total, *few = np.array(model.totals)[:, None] if level == 1 else contexts.T
+        columns = [words[at - (level - 1) + i] for i in range(level)]
         lost = np.array([0.0, *model.discounts[level - 1]])
-        left = sum(lost[i + 1] * n for i, n in enumerate(few))
-        some = np.maximum(total, 1)
-        higher = (np.maximum(counts - lost[np.minimum(counts, 3)], 0) + left * p) / some
-        p = np.where(total > 0, higher, p)
+        if level == 1:
+            total, *few = model.totals
+            p *= sum(lost[i + 1] * n for i, n in enumerate(few)) / total if total else 1
+        for one, counts, contexts in _by_home(model, level, columns, held):
+            kept = np.maximum(counts - lost[np.minimum(counts, 3)], 0)
+            if level == 1:
+                p[one] += kept / total
+                continue
+            total = contexts[:, 0]
+            higher = (kept + contexts[:, 1:] @ lost[1:] * p[one]) / np.maximum(total, 1)
+            p[one] = np.where(total > 0, higher, p[one])
     return p
 
 
@@ -345,7 +358,9 @@ def _scored(model):
         for batch in batches:
             for rows, data, offsets in kernels.blocks(batch, limit=BLOCK):
                 words, at, first = _stream(data, offsets, model.order)
-                counts = _lookups(model, [words[at]], 0, held)[0]
+                counts = np.zeros(len(at), dtype=np.int64)
+                for one, found, _ in _by_home(model, 0, [words[at]], held):
+                    counts[one] = found
                 base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
                 score = np.log10(_likelihoods(model, words, at, held))
                 arrays = [np.diff(first, append=len(at))]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 def small_batches(spark: SparkSession) -> None:
     """Texts are long and several tasks share an executor's memory, so Arrow batches are kept short."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def shared_folder(spark: SparkSession) -> str:
