@@ -1,13 +1,17 @@
 """N-gram Jaccard join by prefix filters under several global token orders.
 
-Two sets with Jaccard similarity t or more share a token among the first ``n - ceil(t n) + 1`` of each, under
-*every* total order of the tokens. A pair is a candidate only if that holds under all of ``ORDERS`` orders, each
-a different permutation of the hashes behind the same leading frequency class, so that frequent tokens come last.
-Frequency classes only place tokens in the order; the result is the same for any classes.
-
-A node is a distinct shingle set, so that exact copies are one node however many there are. Near copies are
-first hung on one member of their group (equal smallest hash), verified, and joined to components; the prefix
-join then pairs only nodes of different components, so a large family of near copies makes no pairs of its own.
+Two sets with Jaccard similarity t or more share l tokens among the first ``n - ceil(t n) + l`` of each, under *every*
+total order of the tokens. Pairs that share a token of their prefixes for l = 1 under order 0 are candidates; a candidate
+goes on only if its prefixes for l = ``MORE`` under each further order share as many tokens as they then must, which is
+decided on two bytes of each token of these prefixes, before any whole set is read. Each order is a permutation of the
+token hashes behind a common frequency class, so that frequent tokens come last. Classes only place tokens in the
+orders; the result is the same for any classes. Pairs that pass all orders are compared by counts on ``PLACES`` places,
+and what is left by whole sets.
+
+A node is a distinct shingle set, so that exact copies are one node however many there are. Near copies are first hung
+on one member of their group (equal smallest hash under one of ``KEYS`` permutations, as in MinHash), verified, and
+joined to components; the prefix join then pairs only nodes of different components, so a large family of near copies
+makes no pairs of its own. Without that first step the result is the same.
 """
 
 from __future__ import annotations
@@ -23,13 +27,14 @@ from matchvault.llm.store import bit_map, written
 
 ORDERS = 3
 KEYS = 12
-FREQUENT = 8  # tokens seen so often in one task's share are reported for the frequency classes
+MORE = 8  # tokens by which prefixes under the orders after the first are longer, less one
+PLACES = 1024  # a set's tokens are counted on so many places
+FREQUENT = 3  # tokens seen so often in one task's share are reported for the frequency classes
 CLASSED = 1 << 18  # at most so many tokens have a class above the lowest
 MAP_BITS = 24
 SKETCH = 8  # words of 64 bits; each token flips one bit, so two sketches differ in no more bits than the sets in tokens
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
 HOT = 14  # frequency class, the log of a token's count, from which on its postings never meet in a window
-PLACES = 1024  # a set's tokens are counted on so many places, and two sets compared by their counts before whole sets meet
 BROADCAST = 1_000_000
 HELD = 1 << 20  # distinct tokens that a task counts at once
 
@@ -116,41 +121,86 @@ def _ordered_keys(hashes, order, tokens, classes):
     return key
 
 
-def _ordered(width, percent, shared, order, whole):
-    """One row per node met in the task's share: its prefix under ``order``, or its whole set, in that order."""
+def _met(batches, width, wanted):
+    """``(node, n, hashes, bounds)`` of the nodes first met in each block: their names, sizes and tokens."""
+    met = set()
+    for batch in batches:
+        for rows, data, offsets in kernels.blocks(batch):
+            hashes, first = kernels.shingles(data, offsets, width)
+            node, sizes = _nodes(first, hashes), np.diff(first)
+            one = np.flatnonzero(sizes > 0)
+            if wanted is not None and len(one):
+                at = _place(node[one], batch.column("row_id")[rows].take(pa.array(one)))
+                one = one[(wanted[at >> 3] >> (at & 7)) & 1 == 1]
+            one = one[np.unique(node[one], return_index=True)[1]]
+            one = one[np.array([x not in met for x in node[one].tolist()], dtype=bool)]
+            if len(one):
+                met.update(node[one].tolist())
+                take = np.zeros(len(sizes), dtype=bool)
+                take[one] = True
+                one = np.sort(one)
+                yield node[one], sizes[one], hashes[np.repeat(take, sizes)], np.concatenate([[0], np.cumsum(sizes[one])])
+
+
+def _first_keys(keys, bounds, take):
+    """The ``take[i]`` smallest of each set's keys, sorted, one after the other."""
+    parts = []
+    for low, high, p in zip(bounds[:-1], bounds[1:], take, strict=True):
+        parts.append(np.sort(keys[low:high] if p == high - low else np.partition(keys[low:high], p - 1)[:p]))
+    return np.concatenate(parts)
+
+
+def _ordered(width, percent, shared, whole):
+    """One row per node met in the task's share: its prefix under order 0, or its whole set, in that order."""
     schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
         tokens, classes, wanted = shared.value
-        met = np.zeros(0, np.int64)
-        for batch in batches:
-            for rows, data, offsets in kernels.blocks(batch):
-                hashes, first = kernels.shingles(data, offsets, width)
-                node, sizes = _nodes(first, hashes), np.diff(first)
-                one = np.flatnonzero((sizes > 0) & ~np.isin(node, met))
-                if wanted is not None and len(one):
-                    at = _place(node[one], batch.column("row_id")[rows].take(pa.array(one)))
-                    one = one[(wanted[at >> 3] >> (at & 7)) & 1 == 1]
-                one = np.sort(one[np.unique(node[one], return_index=True)[1]])
-                if not len(one):
-                    continue
-                met = np.concatenate([met, node[one]])
-                key = _ordered_keys(hashes, order, tokens, classes)
-                take = sizes[one] if whole else _prefix_length(sizes[one], percent)
-                parts = []
-                for t, p in zip(one, take, strict=True):
-                    part = key[first[t] : first[t + 1]]
-                    parts.append(np.sort(part if whole else np.partition(part, p - 1)[:p]))
-                arrays = [pa.array(node[one]), pa.array(sizes[one].astype(np.int32))]
-                bounds = np.concatenate([[0], np.cumsum(take)])
-                arrays.append(kernels.lists(kernels.signed(np.concatenate(parts)), bounds))
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        for node, n, hashes, bounds in _met(batches, width, wanted):
+            take = n if whole else _prefix_length(n, percent)
+            keys = _first_keys(_ordered_keys(hashes, 0, tokens, classes), bounds, take)
+            lists = kernels.lists(kernels.signed(keys), np.concatenate([[0], np.cumsum(take)]))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n.astype(np.int32)), lists], schema=schema)
 
     return run, "node long, n int, tokens array<long>"
 
 
-def _prefix_length(n, percent):
-    return n - -(-percent * n // 100) + 1
+def _filters(width, percent, shared):
+    """One row per node met: two bytes of each token of its prefixes under the orders after the first, and its counts."""
+    names = [*(f"p{order}" for order in range(1, ORDERS)), "counts"]
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), *((c, pa.binary()) for c in names)])
+
+    def run(batches):
+        tokens, classes, wanted = shared.value
+        for node, n, hashes, bounds in _met(batches, width, wanted):
+            take = _prefix_length(n, percent, MORE)
+            ends = np.cumsum(take)
+            arrays = [pa.array(node), pa.array(n.astype(np.int32))]
+            for order in range(1, ORDERS):
+                keys = _first_keys(_ordered_keys(hashes, order, tokens, classes), bounds, take)
+                short = (kernels.mix(keys, 72) >> np.uint64(48)).astype(np.uint16)
+                arrays.append(pa.array([np.sort(x).tobytes() for x in np.split(short, ends[:-1])], pa.binary()))
+            place = (kernels.mix(hashes, 71) & np.uint64(PLACES - 1)).astype(np.int64)
+            counts = [np.bincount(x, minlength=PLACES) for x in np.split(place, bounds[1:-1])]
+            arrays.append(pa.array([np.minimum(c, 127).astype(np.int8).tobytes() for c in counts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return run, ", ".join(["node long", "n int", *(f"{c} binary" for c in names)])
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """How many values two sorted lists of two-byte values share, repeated ones as often as both have them."""
+    a, b = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+    if (a[1:] == a[:-1]).any() or (b[1:] == b[:-1]).any():
+        a, b = np.bincount(a, minlength=1 << 16), np.bincount(b, minlength=1 << 16)
+        return int(np.minimum(a, b).sum())
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _prefix_length(n, percent, extra=1):
+    least = -(-percent * n // 100)
+    return n - least + np.minimum(extra, least)
 
 
 def _place(node, row_id):
@@ -176,67 +226,80 @@ def _near(a, b, percent):
     return F.expr(f"({apart}) * {100 + percent} <= ({a}n + {b}n) * {100 - percent}")
 
 
-def _counted_places(batches):
-    """Per set, how many of its tokens fall on each place, as a byte each."""
-    for batch in batches:
-        column = batch.column("tokens")
-        first, tokens = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
-        counts = []
-        for low, high in zip(first[:-1], first[1:], strict=True):
-            place = kernels.mix(tokens[low:high], 71) & np.uint64(PLACES - 1)
-            counts.append(np.minimum(np.bincount(place.astype(np.int64), minlength=PLACES), 127).astype(np.int8).tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("n"), pa.array(counts, pa.binary())], names=["node", "n", "counts"]
-        )
+def _rows_of_ends(texts, nodes, pairs, shared_of, rows):
+    """``pairs(a, b)`` with the row of both ends, ``a_n`` and so on, that the task function of ``rows`` makes of a node.
+
+    Rows are made from the first document of each node, which the bit map singles out; should two documents of a node
+    pass it, a pair comes twice with the same rows.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "low"), "node")
+    run, schema = rows(shared_of(node_map(ends)))
+    made = written(texts.mapInArrow(run, schema))
+    for x in "ab":
+        side = made.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in made.columns[1:]))
+        pairs = pairs.join(side, x)
+    return pairs
 
 
-def _reachable(sets, pairs, percent):
-    """The ``pairs`` whose counts per place differ by no more than the tokens in which the sets may differ.
+def intersected(texts, nodes, pairs, shared_of, width, percent):
+    """The ``pairs(a, b)`` that pass the prefix filter of every order after the first, and then the one by counts.
 
-    A token that only one set has changes one count by one, so the sum of differences (of counts cut at 127, too) is
-    never more than the number of such tokens: no link is lost, and whole sets are shuffled for few other pairs.
+    Of two sets that share o tokens, all shared ones up to the smaller of the two prefixes' last keys are in both prefixes,
+    and the set of that prefix, of length p of n, lacks no more than n - o of them: the prefixes share p - n + o
+    at least. Two bytes of a token are compared, which can only add to what is shared. A token that one set alone
+    has changes one count by one, so the differences of counts (cut at 127, too) are never more than such tokens.
     """
 
     def run(batches):
         for batch in batches:
+            n = {x: np.asarray(batch.column(f"{x}_n"), dtype=np.int64) for x in "ab"}
+            both = n["a"] + n["b"]
+            least = np.minimum(*(_prefix_length(n[x], percent, MORE) - n[x] for x in "ab")) - (-percent * both // (100 + percent))
+            keep = np.ones(len(both), dtype=bool)
+            for order in range(1, ORDERS):
+                a, b = (batch.column(f"{x}_p{order}") for x in "ab")
+                for i in np.flatnonzero(keep):
+                    keep[i] = _common(a[i].as_py(), b[i].as_py()) >= least[i]
             a, b = (
                 np.frombuffer(b"".join(batch.column(f"{x}_counts").to_pylist()), np.int8).reshape(-1, PLACES).astype(np.int16)
                 for x in "ab"
             )
-            n = sum(np.asarray(batch.column(f"{x}_n"), dtype=np.int64) for x in "ab")
-            keep = np.abs(a - b).sum(axis=1) * (100 + percent) <= n * (100 - percent)
+            keep &= np.abs(a - b).sum(axis=1) * (100 + percent) <= both * (100 - percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    counted = written(sets.mapInArrow(_counted_places, "node long, n int, counts binary"))
-    for x in "ab":
-        side = counted.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("counts").alias(f"{x}_counts"))
-        pairs = pairs.join(side, x)
-    return pairs.mapInArrow(run, "a long, b long").distinct()
+    both = _rows_of_ends(texts, nodes, pairs, shared_of, lambda shared: _filters(width, percent, shared))
+    return written(both.mapInArrow(run, "a long, b long").distinct())
 
 
 def _verified(texts, nodes, pairs, shared_of, width, percent):
-    """The ``pairs(a, b)`` that pass every prefix filter and whose similarity reaches the bound.
+    """The ``pairs(a, b)`` that pass all filters and whose sets reach the similarity, as ``(u, v)``."""
+    pairs = intersected(texts, nodes, pairs, shared_of, width, percent)
+    both = _rows_of_ends(texts, nodes, pairs, shared_of, lambda shared: _ordered(width, percent, shared, True))
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    fits = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
+    return both.where(fits).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
-    Sets are made from the first row of each node, which the bit map singles out; should two rows of a node pass
-    it, the same link comes twice and is merged at the end.
+
+def head_pairs(nodes, percent):
+    """``(a, b)``: nodes and the head of each of their groups of equal smallest hashes.
+
+    The head is the node whose keys are the most common: in a family of copies, the text with fewest edits.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "low"), "node")
-    run, schema = _ordered(width, percent, shared_of(node_map(ends)), 1, True)
-    sets = written(texts.mapInArrow(run, schema))
-    a, b = (sets.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("tokens").alias(f"{x}_t")) for x in "ab")
-
-    def prefix(x, order):
-        """Under order 1 the first tokens as they stand, under the others the smallest of another hash."""
-        keys = x if order == 1 else F.array_sort(F.transform(x, lambda t: F.xxhash64(t, F.lit(order))))
-        return F.slice(keys, 1, F.size(x) - F.ceil(F.size(x) * percent / 100).cast("int") + 1)
-
-    both = _reachable(sets, pairs, percent).join(a, "a").join(b, "b")
-    fits = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    for order in range(1, ORDERS):
-        fits = fits & F.arrays_overlap(prefix(F.col("a_t"), order), prefix(F.col("b_t"), order))
-    shared = F.size(F.array_intersect("a_t", "b_t"))
-    fits = fits & (100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared))
-    return both.where(fits).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    keyed = nodes.select("node", "n", F.posexplode(F.array(*(f"k{i}" for i in range(KEYS)))).alias("k", "key"))
+    sizes = keyed.groupBy("k", "key").agg(F.log2(F.count("*")).alias("size")).where("size > 0")
+    keyed = written(keyed.join(sizes, ["k", "key"]))
+    ranks = keyed.groupBy("node").agg(F.sum("size").alias("rank"))
+    keyed = keyed.join(ranks, "node")
+    heads = keyed.groupBy("k", "key").agg(F.max(F.struct("rank", "node", "n")).alias("head"))
+    stars = (
+        keyed.join(heads, ["k", "key"])
+        .where(f"node <> head.node AND least(n, head.n) * 100 >= greatest(n, head.n) * {percent}")
+        .select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
+    )
+    sketches = nodes.select("node", F.struct("n", F.struct(*SKETCHES).alias("sketch")).alias("of"))
+    for x in "ab":
+        stars = stars.join(sketches.select(F.col("node").alias(x), F.col("of").alias(f"of_{x}")), x)
+    return stars.where(_near("of_a.", "of_b.", percent)).select("a", "b")
 
 
 def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75, width=5) -> DataFrame:
@@ -274,32 +337,19 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
             F.min("row_id").alias("low"), F.min("n").alias("n"), *(F.min(k).alias(k) for k in [*keys, *SKETCHES])
         )
     )
-    # The head of a group is the node whose keys are the most common: in a family, the text with fewest edits.
-    keyed = nodes.select("node", "n", F.posexplode(F.array(*keys)).alias("k", "key"))
-    sizes = keyed.groupBy("k", "key").agg(F.log2(F.count("*")).alias("size")).where("size > 0")
-    keyed = written(keyed.join(sizes, ["k", "key"]))
-    ranks = keyed.groupBy("node").agg(F.sum("size").alias("rank"))
-    keyed = keyed.join(ranks, "node")
-    sketches = nodes.select("node", "n", F.struct(*SKETCHES).alias("sketch"))
-    heads = keyed.groupBy("k", "key").agg(F.max(F.struct("rank", "node", "n")).alias("head"))
-    stars = (
-        keyed.join(heads, ["k", "key"])
-        .where(f"node <> head.node AND least(n, head.n) * 100 >= greatest(n, head.n) * {percent}")
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
-    )
-    for x in "ab":
-        stars = stars.join(sketches.select(F.col("node").alias(x), F.struct("n", "sketch").alias(f"of_{x}")), x)
-    stars = stars.where(_near("of_a.", "of_b.", percent)).select("a", "b")
-    links = written(_verified(texts, nodes, written(stars), shared_of, width, percent))
+    links = written(_verified(texts, nodes, written(head_pairs(nodes, percent)), shared_of, width, percent))
     roots = components(links)
 
-    run, schema = _ordered(width, percent, shared_of(), 0, False)
+    run, schema = _ordered(width, percent, shared_of(), False)
     postings = texts.mapInArrow(run, schema).select("node", F.posexplode("tokens").alias("at", "token"))
 
     def several(frame, of):
-        """The postings of tokens that more than one ``of`` has."""
+        """The postings of tokens that more than one ``of`` has, with a signature of all nodes of the token."""
         same = Window.partitionBy("token")
-        frame = frame.withColumns({"least": F.min(of).over(same), "most": F.max(of).over(same)})
+        frame = frame.withColumns({
+            "least": F.min(of).over(same), "most": F.max(of).over(same),
+            "nodes": F.bit_xor(F.xxhash64("node")).over(same), "many": F.count("*").over(same),
+        })
         return frame.where("least < most").drop("least", "most")
 
     def rooted(frame):
@@ -307,10 +357,18 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
 
     # A hot token may stand in a third of all prefixes, mostly of one family: its roots are reduced on the map side.
     hot = F.shiftrightunsigned("token", 58) >= HOT
-    split = several(rooted(several(postings.where(~hot), "node").distinct()), "root")
+    split = several(rooted(several(postings.where(~hot), "node").drop("nodes", "many").distinct()), "root")
     many = written(rooted(postings.where(hot).distinct()))
-    apart = many.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    split = split.unionByName(many.join(apart, "token", "left_semi").select(*split.columns))
+    apart = many.groupBy("token").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.bit_xor(F.xxhash64("node")).alias("nodes"),
+        F.count("*").alias("many"),
+    ).where("least < most").select("token", "nodes", "many")
+    split = split.unionByName(many.join(apart, "token"))
+    # Tokens with the same nodes make the same pairs. The first of them, in all of these nodes, is the first that a pair
+    # shares, if any of them is: the others go.
+    split = split.groupBy("node", "root", "nodes", "many").agg(F.min(F.struct("token", "at")).alias("first"))
+    split = split.select("node", "root", "first.token", "first.at")
+    sketches = nodes.select("node", "n", F.struct(*SKETCHES).alias("sketch"))
     split = written(split.join(sketches, "node"))
     a, b = split.alias("a"), split.alias("b")
     # At the first token that a pair shares, all it shares stands at or after both places.

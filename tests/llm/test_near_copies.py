@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -24,20 +25,40 @@ def test_jaccard_groups_agree_with_all_pairs(odd, odd_rows, hot, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(brute.jaccard_components(odd_rows))
 
 
-def test_counts_per_place_lose_no_link(spark):
+def test_jaccard_groups_without_the_first_step(odd, odd_rows, monkeypatch):
+    """Links come from the prefix join alone when nothing is hung on heads before."""
+    monkeypatch.setattr(jaccard, "head_pairs", lambda nodes, percent: nodes.select("node", "node").toDF("a", "b").where("false"))
+    got = jaccard.jaccard_groups(odd).drop("version").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.jaccard_components(odd_rows))
+
+
+def test_filters_lose_no_link(spark):
     rng = np.random.default_rng(5)
-    sets = []
+    rows = []
     for i in range(40):
         n = int(rng.integers(1, 3000))
-        tokens = rng.integers(0, 1 << 62, n)
+        tokens = np.unique(rng.integers(0, 1 << 62, n))
         other = tokens[int(n * rng.uniform(0, 0.3)) :]
-        sets += [(2 * i, np.unique(tokens).tolist()), (2 * i + 1, np.unique(other).tolist())]
-    df = spark.createDataFrame([(i, len(t), t) for i, t in sets], "node long, n int, tokens array<long>")
-    pairs = spark.createDataFrame([(a, b) for a in range(80) for b in range(a + 1, 80)], "a long, b long")
-    got = {(r.a, r.b) for r in jaccard._reachable(df, pairs, 75).collect()}
-    own = {i: set(t) for i, t in sets}
+        rows += [(2 * i, " ".join(map(str, tokens))), (2 * i + 1, " ".join(map(str, other)))]
+    texts = spark.createDataFrame([(i, t, 0) for i, t in rows], "row_id long, text string, version long")
+    run, schema = jaccard._profile(1)
+    nodes = texts.mapInArrow(run, schema).where("n > 0").selectExpr("node", "row_id AS low")
+    doc = {r.node: r.low for r in nodes.collect()}
+    own = {i: set(t.split()) for i, t in rows}
     linked = {(a, b) for a in own for b in own if a < b and 100 * len(own[a] & own[b]) >= 75 * len(own[a] | own[b])}
-    assert linked <= got and len(linked) >= 20 and len(got) < 500
+    pairs = spark.createDataFrame([(a, b) for a in doc for b in doc if doc[a] < doc[b]], "a long, b long")
+    classes = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    kept = jaccard.intersected(texts, nodes, pairs, lambda wanted: spark.sparkContext.broadcast((*classes, wanted)), 1, 75)
+    got = {(doc[r.a], doc[r.b]) for r in kept.collect()}
+    assert linked <= got and len(linked) >= 20 and len(got) < 60
+
+
+@pytest.mark.parametrize("size", [5, 300, 5000])
+def test_common_counts_repeated_values(size):
+    rng = np.random.default_rng(size)
+    a, b = (np.sort(rng.integers(0, 4000, size).astype(np.uint16)) for _ in "ab")
+    expected = sum((Counter(a.tolist()) & Counter(b.tolist())).values())
+    assert jaccard._common(a.tobytes(), b.tobytes()) == expected
 
 
 def test_jaccard_groups_with_repeated_rows_and_ids(repeated):
