@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchvault.llm import kernels
-from matchvault.llm.store import written
+from matchvault.llm.store import unused, written
 
 K1, B = 1.2, 0.75
 POSTINGS_PER_BLOCK = 64
@@ -339,19 +339,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold=0.6, overlap=0
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold=0.6, overlap=0.6) -> DataFrame:
-    """``docs`` less the rows that hold a test item; nothing is shuffled."""
-    names = docs.columns
+    """``docs`` less the rows that hold a test item; nothing is shuffled.
+
+    Null and empty texts hold none. Rows that repeat or lack an id are judged each by its text, and all columns come
+    back as they are, whatever their names.
+    """
+    names, lowered = docs.columns, unused(docs.columns, "text_lower")
     for some in _passes(benchmark, threshold):
         shared = docs.sparkSession.sparkContext.broadcast(some)
 
         def run(batches, shared=shared):
             for batch in batches:
-                for rows, data, offsets in kernels.blocks(batch, "_text"):
+                for rows, data, offsets in kernels.blocks(batch, lowered):
                     keep = np.ones(len(offsets) - 1, bool)
                     keep[[t for t, _, _ in _hits(shared.value, overlap, data, offsets)]] = False
                     part = batch.slice(rows.start, rows.stop - rows.start).filter(pa.array(keep))
                     yield part.select(names)
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        docs = docs.withColumn("_text", F.lower(F.coalesce("text", F.lit("")))).mapInArrow(run, schema)
+        docs = docs.withColumn(lowered, F.lower(F.coalesce("text", F.lit("")))).mapInArrow(run, schema)
     return docs

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from matchvault.llm import kernels
 from matchvault.llm.components import components
-from matchvault.llm.store import bit_map, written
+from matchvault.llm.store import bit_map, unused, written
 
 ORDERS = 3
 KEYS = 12
@@ -398,13 +398,16 @@ def without_near_copies(docs: DataFrame, percent=75, width=5) -> DataFrame:
     """``docs(doc_id, text, ...)`` with one row of each group of near copies: the one with the smallest id.
 
     Rows with one id and one text are copies of each other; different texts under one id are different documents,
-    and stay if no smaller id is in their group. Rows without an id cannot be named and stay.
+    and stay if no smaller id is in their group. Rows without an id cannot be named and stay. Other columns come back
+    as they are, whatever their names.
     """
-    groups = written(jaccard_groups(docs, percent=percent, width=width))
-    key = ["doc_id", "version"]
+    version = unused(docs.columns, "version")
+    groups = jaccard_groups(docs, percent=percent, width=width).withColumnRenamed("version", version)
+    groups = written(groups)
+    key = ["doc_id", version]
     gone = groups.where("doc_id <> component_id").select(*key).distinct()
     again = groups.where("doc_id = component_id").groupBy(*key).count().where("count > 1").select(*key)
-    named = docs.withColumn("version", F.xxhash64(F.coalesce("text", F.lit(""))))
+    named = docs.withColumn(version, F.xxhash64(F.coalesce("text", F.lit(""))))
     stay = named.join(_small(gone), key, "left_anti")
     if not again.isEmpty():
         one = stay.join(_small(again), key, "left_semi").dropDuplicates(key)

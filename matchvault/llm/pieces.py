@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchvault.llm import kernels
+from matchvault.llm.store import unused
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 32
@@ -176,22 +177,23 @@ def encode(docs: DataFrame, key="doc_id", model=MODEL, theta=1.0, seed=0) -> Dat
     """``docs`` (with ``text``) with ``pieces``, an array of piece ids.
 
     Rows that repeat a key and a text get the same pieces; a null key counts as 0. A null text has null pieces, an
-    empty one none. ``model`` is read on the driver.
+    empty one none. ``model`` is read on the driver. Other columns are kept, but for one named ``pieces``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces(model, theta))
     names, schema = _fields(docs, ["pieces"])
+    text, row_key = unused(docs.columns, "text_or_empty"), unused(docs.columns, "row_key")
 
     def run(batches):
         for batch in batches:
-            for rows, data, offsets in kernels.blocks(batch, "_text", 2 * kernels.BLOCK):
-                keys = np.asarray(batch.column("_key")[rows], dtype=np.int64).view(np.uint64)
+            for rows, data, offsets in kernels.blocks(batch, text, 2 * kernels.BLOCK):
+                keys = np.asarray(batch.column(row_key)[rows], dtype=np.int64).view(np.uint64)
                 ids, bounds = segment(shared.value, data, offsets, kernels.mix(keys, 100 + seed))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c)[rows] for c in names), kernels.lists(ids.astype(np.int32), bounds)], names=[*names, "pieces"]
                 )
 
-    prepared = docs.withColumns({"_text": F.coalesce("text", F.lit("")), "_key": F.coalesce(F.col(key).cast("long"), F.lit(0))})
-    out = prepared.select(*names, "_text", "_key").mapInArrow(run, ", ".join([*schema, "pieces array<int>"]))
+    prepared = docs.withColumns({text: F.coalesce("text", F.lit("")), row_key: F.coalesce(F.col(key).cast("long"), F.lit(0))})
+    out = prepared.select(*names, text, row_key).mapInArrow(run, ", ".join([*schema, "pieces array<int>"]))
     return out.withColumn("pieces", F.when(F.col("text").isNotNull(), F.col("pieces"))) if "text" in names else out
 
 

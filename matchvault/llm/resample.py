@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchvault.llm import kernels
-from matchvault.llm.store import written
+from matchvault.llm.store import set_aside, written
 
 BUCKET_BITS = 17
 LABELLED = 20_000  # labelled rows at most that the target model and the cut are fitted on
@@ -212,6 +212,12 @@ def fitted(docs: DataFrame, labels: DataFrame):
     return model, kth_largest(weights, k)
 
 
+def selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``resampled`` keeps, with all columns as they are, whatever their names."""
+    docs, restored = set_aside(docs, "n_grams", "log_weight", "key", "kept")
+    return restored(resampled(docs, labels).where("kept"))
+
+
 def resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with n_grams, log_weight, key and ``kept``; rows that tie with the last of the top k are kept too.
 

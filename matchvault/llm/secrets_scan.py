@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchvault.llm.store import set_aside
+
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -142,7 +144,10 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every span (overlapping ones as one) replaced by ``mark``; a null text stays null."""
+    """``docs`` with every span (overlapping ones as one) replaced by ``mark``; a null text stays null.
+
+    All other columns come back as they are, one named ``found`` too.
+    """
     joined = (
         "aggregate(found, cast(array() AS array<struct<start:int,end:int>>), (a, x) -> "
         "CASE WHEN size(a) > 0 AND element_at(a, -1).end >= x.start THEN concat(slice(a, 1, size(a) - 1), array(struct("
@@ -155,5 +160,6 @@ def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") ->
         f"concat(a.kept, substr({text}, a.at + 1, x.start - a.at), {_literal(mark)}) AS kept), "
         f"a -> concat(a.kept, substr({text}, a.at + 1)))"
     )
+    docs, restored = set_aside(docs, "found", *(c for c in docs.columns if c.lower().startswith("scan__")))
     out = secret_spans(docs, text_col).withColumn("scan__joined", F.expr(joined))
-    return out.withColumn(text_col, F.expr(f"CASE WHEN size(scan__joined) > 0 THEN {clean} ELSE {text} END")).drop("scan__joined", "found")
+    return restored(out.withColumn(text_col, F.expr(f"CASE WHEN size(scan__joined) > 0 THEN {clean} ELSE {text} END")))

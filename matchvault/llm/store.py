@@ -35,6 +35,27 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns, name: str) -> str:
+    """``name``, with underscores added until it is unlike all of ``columns`` in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def set_aside(docs: DataFrame, *names: str):
+    """``docs`` with columns called like one of ``names`` renamed, and a function that gives the columns back their names.
+
+    The function selects the columns of ``docs``, in their order, from a frame made of the renamed one.
+    """
+    wanted, columns, other = {n.lower() for n in names}, list(docs.columns), {}
+    for c in docs.columns:
+        if c.lower() in wanted:
+            other[c] = unused([*columns, *names], c)
+            columns.append(other[c])
+    return docs.withColumnsRenamed(other), lambda df: df.select(*(F.col(f"`{other.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def bit_map(at: DataFrame, bits: int) -> np.ndarray:
     """The map with the bits in the one column of ``at`` set, as bytes: 2^bits / 8 of them whatever the rows.
 
