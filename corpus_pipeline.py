@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchvault.llm.decontaminate import without_contaminated
 from matchvault.llm.jaccard import without_near_copies
 from matchvault.llm.pieces import decode, encode
-from matchvault.llm.resample import resampled
+from matchvault.llm.resample import selected
 from matchvault.llm.secrets_scan import redacted
 from matchvault.llm.store import small_batches, written
 
@@ -20,7 +20,7 @@ def _table(spark, sf_dir, name):
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents among the top k of the importance resampling."""
-    return resampled(docs, _table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    return selected(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
