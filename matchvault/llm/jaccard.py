@@ -27,6 +27,7 @@ from matchvault.llm.store import bit_map, unused, written
 
 ORDERS = 3
 KEYS = 12
+BEFORE = 32  # tokens of a node that are looked at so as not to make a pair again at a later token
 MORE = 8  # tokens by which prefixes under the orders after the first are longer, less one
 PLACES = 1024  # a set's tokens are counted on so many places
 FREQUENT = 3  # tokens seen so often in one task's share are reported for the frequency classes
@@ -36,7 +37,7 @@ SKETCH = 8  # words of 64 bits; each token flips one bit, so two sketches differ
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
 HOT = 14  # frequency class, the log of a token's count, from which on its postings never meet in a window
 BROADCAST = 1_000_000
-HELD = 1 << 20  # distinct tokens that a task counts at once
+HELD = 1 << 19  # distinct tokens that a task counts at once
 
 
 def _nodes(first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -271,6 +272,29 @@ def intersected(texts, nodes, pairs, shared_of, width, percent):
     return written(both.mapInArrow(run, "a long, b long").distinct())
 
 
+def _sharing(pairs, lists, percent):
+    """The ``pairs`` whose prefixes under order 0 share as many tokens as they must: the bound of ``intersected``.
+
+    ``lists`` has the ``tokens`` of each node's prefix that other components have too, one for each group of tokens with
+    the same nodes, and the size of that group as its weight.
+    """
+
+    def run(batches):
+        for batch in batches:
+            n = {x: np.asarray(batch.column(f"{x}_n"), dtype=np.int64) for x in "ab"}
+            least = np.minimum(*(_prefix_length(n[x], percent) - n[x] for x in "ab")) - (-percent * (n["a"] + n["b"]) // (100 + percent))
+            a, b, weights = (batch.column(c) for c in ("a_tokens", "b_tokens", "a_weights"))
+            keep = np.zeros(len(least), dtype=bool)
+            for i in range(len(keep)):
+                both = np.isin(a[i].values, b[i].values, assume_unique=True)
+                keep[i] = np.asarray(weights[i].values)[both].sum() >= least[i]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    for x in "ab":
+        pairs = pairs.join(lists.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "tokens", "weights"))), x)
+    return pairs.mapInArrow(run, "a long, b long")
+
+
 def _verified(texts, nodes, pairs, shared_of, width, percent):
     """The ``pairs(a, b)`` that pass all filters and whose sets reach the similarity, as ``(u, v)``."""
     pairs = intersected(texts, nodes, pairs, shared_of, width, percent)
@@ -364,19 +388,30 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
         F.count("*").alias("many"),
     ).where("least < most").select("token", "nodes", "many")
     split = split.unionByName(many.join(apart, "token"))
-    # Tokens with the same nodes make the same pairs. The first of them, in all of these nodes, is the first that a pair
-    # shares, if any of them is: the others go.
-    split = split.groupBy("node", "root", "nodes", "many").agg(F.min(F.struct("token", "at")).alias("first"))
-    split = split.select("node", "root", "first.token", "first.at")
+    # Tokens with the same nodes make the same pairs, and one of them stands for all: the first in all of these nodes, which
+    # is the first that a pair shares, if any of them is.
+    split = split.groupBy("node", "root", "nodes", "many").agg(
+        F.min(F.struct("token", "at")).alias("first"), F.count("*").cast("int").alias("weight")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("first.token", "first.at", "weight")))
     sketches = nodes.select("node", "n", F.struct(*SKETCHES).alias("sketch"))
-    split = written(split.join(sketches, "node"))
+    lists = split.groupBy("node", "root").agg(listed.alias("list")).join(sketches, "node")
+    lists = written(lists.select(
+        "node", "root", "n", "sketch", F.col("list.token").alias("tokens"), F.col("list.at").alias("places"),
+        F.col("list.weight").alias("weights"),
+    ))
+    split = lists.select("*", F.posexplode("tokens").alias("i", "token")).select(
+        "node", "root", "n", "sketch", "token", F.expr("places[i]").alias("at"),
+        F.slice("tokens", F.lit(1), F.least("i", F.lit(BEFORE))).alias("before"),
+    )
     a, b = split.alias("a"), split.alias("b")
     # At the first token that a pair shares, all it shares stands at or after both places.
     shared = F.expr("least(a.n - a.at, b.n - b.at)")
     fits = F.expr("a.token = b.token AND a.root < b.root") & (
         100 * shared >= percent * (F.expr("a.n + b.n") - shared)
-    ) & _near("a.", "b.", percent)
-    pairs = written(a.join(b, fits).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+    ) & _near("a.", "b.", percent) & ~F.arrays_overlap("a.before", "b.before")
+    pairs = a.join(b, fits).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    pairs = written(_sharing(pairs, lists, percent))
     more = _verified(texts, nodes, pairs, shared_of, width, percent)
     joined = components(links.unionByName(more))
 
