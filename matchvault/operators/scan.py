@@ -6,6 +6,9 @@ should hold, its rows are cut into chunks at quantiles of the order columns, the
 ``(key, chunk)``, and what earlier or later chunks contribute is carried in from one summary row per
 chunk. The result is the same row for row; only the work per task is bounded.
 
+Without keys the rows are range-partitioned by the order columns, and a chunk is a partition: no row is joined
+with cut points, and the summaries of the partitions are summed up in order.
+
 Sizes: a key of ``n`` rows gets ``n / rowsPerChunk`` chunks, however many keys are split and however many
 chunks that makes. Cut points and carried summaries are tables with about one entry per chunk. They are
 broadcast while their measured size allows (``BROADCAST_ROWS``, ``BROADCAST_BYTES``); beyond it they are
@@ -195,6 +198,8 @@ def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
     if sizes.isEmpty():
         return OrderedScan(df, keys, order, split=False)
+    if not keys:
+        return _ranged(df, order, limit, sizes.first()["_rows"])
     chunks = F.expr(f"(_rows + {limit - 1}) div {limit}").alias("_n")
     hot = _written(sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_rows", chunks))
     cuts = _cut_points(df, keys, order, hot)
@@ -208,13 +213,33 @@ def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan
         F.max(F.size(_CUTS)), F.sum(F.size(_CUTS) + 1), F.sum(F.octet_length(F.to_json(F.struct("*"))))
     ).first()
     small = (total or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
-    # Without keys the table of cut points has one row.
-    on = [df[k].eqNullSafe(cuts[f"_k_{k}"]) for k in keys] or None
-    tagged = df.join(F.broadcast(cuts) if small or not keys else cuts, on, "left")
+    on = [df[k].eqNullSafe(cuts[f"_k_{k}"]) for k in keys]
+    tagged = df.join(F.broadcast(cuts) if small else cuts, on, "left")
     tagged = tagged.withColumn(CHUNK, _position(F.col(_CUTS), F.struct(*order), longest or 0))
     return OrderedScan(tagged.select(*df.columns, CHUNK), keys, order, split=True, small=small)
 
 
+def _ranged(df, order, limit, rows):
+    """A keyless scan cut into range partitions, written down so that all uses see the same ones.
+
+    Rows that tie on the whole order fall into one partition; where that makes one too large for a task, the rows are
+    numbered and the numbers take part in the order.
+    """
+    n = -(-rows // limit)
+
+    def cut(frame, by):
+        return _written(frame.repartitionByRange(n, *by).withColumn(CHUNK, F.spark_partition_id()))
+
+    tagged = cut(df, order)
+    largest = tagged.groupBy(CHUNK).count().agg(F.max("count")).first()[0]
+    # Partitions follow a sample, so they may be somewhat larger than planned without a tie.
+    if largest > 2 * limit:
+        order = (*order, TIE)
+        tagged = cut(_written(df.withColumn(TIE, F.monotonically_increasing_id())), order)
+    # One summary row per partition, and as many partitions as the shuffle has.
+    return OrderedScan(tagged, (), order, split=True, small=n <= BROADCAST_ROWS)
+
+
 def _fixed_width(kind):
     if isinstance(kind, T.StructType):
         return all(_fixed_width(f.dataType) for f in kind.fields)
@@ -241,13 +266,9 @@ def _cut_points(df, keys, order, hot):
     narrow = df.select(*dict.fromkeys([*keys, *order]))
     rate = F.least(F.lit(1.0), SAMPLES_PER_CHUNK * F.col("_n") / F.col("_rows"))
     plan = hot.withColumn("_p", rate).drop("_rows")
-    if keys:
-        if plan.count() <= BROADCAST_ROWS and all(_fixed_width(plan.schema[n].dataType) for n in names):
-            plan = F.broadcast(plan)
-        picked = narrow.join(plan, [narrow[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    else:
-        n, p = plan.select("_n", "_p").first()
-        picked = narrow.withColumns({"_n": F.lit(n), "_p": F.lit(p)})
+    if plan.count() <= BROADCAST_ROWS and all(_fixed_width(plan.schema[n].dataType) for n in names):
+        plan = F.broadcast(plan)
+    picked = narrow.join(plan, [narrow[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     # The sample only places the cuts; every row is still scanned.
     picked = picked.filter(F.rand(17) < F.col("_p"))
     w = Window.partitionBy(*names)

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from matchvault.operators.scan import (
+    CHUNK,
     following,
     last_known,
     next_known,
@@ -125,3 +126,24 @@ def test_split_without_broadcast(spark, monkeypatch, keys):
     scan = ordered_scan(df, keys, ["t"], rows_per_chunk=20)
     assert scan.split and not scan.small
     assert rows(scan.with_values(**values).rows()) == plain
+
+
+def test_keyless_scan_over_range_partitions(spark):
+    """No nested loop, every chunk within bounds, ties divided, nulls first: the same values as one window."""
+    for distinct in (4000, 7):
+        df = spark.range(4000).select(
+            "id", F.when(F.col("id") % 50 != 0, F.col("id") * 7919 % distinct).alias("at"), (F.col("id") % 13).alias("v")
+        )
+        order = ["at", "id"] if distinct > 7 else ["at"]
+        scanned = ordered_scan(df, [], order, rows_per_chunk=100)
+        assert scanned.split and scanned.df.groupBy(CHUNK).count().agg(F.max("count")).first()[0] <= 200
+        out = scanned.with_values(total=sum_through("v"), first=previous("id")).rows()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+        got = out.collect()
+        assert len(got) == 4000 and max(r.total for r in got) == sum(r.v for r in got)
+        if distinct > 7:
+            seen = 0
+            for i, r in enumerate(sorted(got, key=lambda r: (r["at"] is not None, r["at"] or 0, r.id))):
+                seen += r.v
+                assert r.total == seen and (r["first"] is None) == (i == 0)
