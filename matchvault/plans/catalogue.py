@@ -3,6 +3,7 @@
 from matchvault.plans import (  # noqa: F401
     evaluation_queries,
     feature_queries,
+    landing_queries,
     mart_queries,
     serving_queries,
     warehouse,

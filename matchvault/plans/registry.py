@@ -19,6 +19,7 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
     "props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
     "labels": "doc_id bigint, quality int, toxic int",
 }
 

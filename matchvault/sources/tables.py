@@ -5,11 +5,15 @@ readers take the newest version that has Spark's ``_SUCCESS`` marker, so ``new =
 replace one table, and a failed or lost job leaves the old version in force.
 """
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 
 class TableStore:
-    """Tables under one root folder on a file system all executors share."""
+    """Tables under one root folder on a file system all executors share.
+
+    Every write returns how many rows it wrote, counted by the write itself.
+    """
 
     def __init__(self, spark, root):
         self.spark = spark
@@ -66,32 +70,32 @@ class TableStore:
     def overwrite(self, df, name, partition_by=()):
         """Write the next version of the table."""
         number = max(self._versions(name), default=0) + 1
-        self._write(df, f"{self._folder(name)}/v={number}", "errorifexists", partition_by)
+        return self._write(df, f"{self._folder(name)}/v={number}", "errorifexists", partition_by)
 
     def append(self, df, name, partition_by=()):
         """Add rows to the version in force, or start the table."""
         number = self._current(name)
         if number is None:
-            self.overwrite(df, name, partition_by)
-            return
-        self._write(df, f"{self._folder(name)}/v={number}", "append", partition_by)
+            return self.overwrite(df, name, partition_by)
+        return self._write(df, f"{self._folder(name)}/v={number}", "append", partition_by)
 
     def replace_partitions(self, df, name, partition_by):
         """Replace only the partitions that ``df`` holds, so a rerun of a batch adds nothing twice."""
         number = self._current(name)
         if number is None:
-            self.overwrite(df, name, partition_by)
-            return
-        self._write(
+            return self.overwrite(df, name, partition_by)
+        return self._write(
             df, f"{self._folder(name)}/v={number}", "overwrite", partition_by,
             partitionOverwriteMode="dynamic",
         )
 
     def _write(self, df, path, mode, partition_by, **options):
-        out = df.write.mode(mode).options(**options)
+        written = Observation()
+        out = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**options)
         if partition_by:
             out = out.partitionBy(*partition_by)
         out.parquet(path)
+        return written.get.get("rows", 0)
 
     def save_model(self, model, name):
         """Keep a fitted pipeline; the newest complete one is loaded."""
@@ -135,9 +139,10 @@ def stamp(df, load_ts, source):
 def write_snapshot(store, df, name, ds, load_ts, source):
     """Keep the full extract of a day and log the load; a rerun of the day replaces it."""
     dated = stamp(df, load_ts, source).withColumn(SNAPSHOT, F.lit(ds).cast("date"))
-    store.replace_partitions(dated, name, [SNAPSHOT])
+    rows = store.replace_partitions(dated, name, [SNAPSHOT])
     line = store.spark.createDataFrame([(name, str(load_ts))], "table_name string, ts string")
     store.append(line.select("table_name", F.col("ts").cast("timestamp_ntz").alias("updated_at")), LOG)
+    return rows
 
 
 def read_snapshot(store, name, ds):

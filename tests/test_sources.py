@@ -113,3 +113,37 @@ def test_arrays_by_date_look_back(spark, tmp_path):
 def test_stamp(spark):
     got = tables.stamp(spark.range(1), "2024-01-01 08:00:00", "API")
     assert got.columns == ["id", "_source_load_datetime", "_source"]
+
+
+def test_every_write_returns_its_rows(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path))
+    df = spark.range(25).selectExpr("id", "id % 3 AS part")
+    assert store.overwrite(df, "a.t") == 25
+    assert store.append(df.where("id < 4"), "a.t") == 4 and store.count("a.t") == 29
+    assert store.append(df.where("id < 0"), "a.t") == 0
+    assert store.overwrite(df.where("false"), "a.empty") == 0 and store.overwrite(spark.createDataFrame([], df.schema), "a.e") == 0
+    assert store.replace_partitions(df, "a.p", ["part"]) == 25
+    assert store.replace_partitions(df.where("part = 1 AND id > 10"), "a.p", ["part"]) == 4
+    assert store.read("a.p").count() == 25 - 8 + 4
+    joined = df.join(df.withColumnRenamed("part", "other"), "id").groupBy("part").count()
+    assert store.overwrite(joined, "a.j") == 3
+    assert tables.write_snapshot(store, df, "a.s", "2024-01-02", "2024-01-02 08:00:00", "X") == 25
+
+
+def test_landing_of_odd_payloads(spark):
+    rows = [
+        (1, '{"turns": [{"n": 1, "name": {"default": "a"}}, {"n": "2", "name": {}}, 5, null, {"n": "x"}]}'),
+        (2, '{"turns": []}'), (3, '{"other": [{"n": 1}]}'), (4, '{"turns": [{"n": 1'), (5, None), (6, ""), (7, "[1, 2]"),
+        (8, '{"turns": {"n": 1}}'), (9, "null"),
+    ]
+    got = landing.parsed(spark.createDataFrame(rows, "key int, body string"), "body", ["key"])
+    fields = {"n": ("n", "int"), "name": ("name.default", "string", "")}
+    landed = landing.land_elements(got, "turns", fields, ["key"]).collect()
+    assert sorted(map(tuple, landed), key=str) == [(1, 1, "a"), (1, 2, ""), (1, None, "")]
+    entries = landing.land_entries(got, "group", fields, ["key"]).collect()
+    assert {(r.key, r.group, r.n) for r in entries} == {(1, "turns", 1), (1, "turns", 2), (1, "turns", None), (3, "other", 1)}
+    assert {r.key for r in landing.unreadable(got).collect()} == {4, 5, 6}
+    hub = spark.createDataFrame([(k,) for k in (1, 4, 5, 9, 10, 10)], "key int")
+    assert {r.key for r in landing.to_fetch(landing.request_keys(hub, "key"), got, "key").collect()} == {4, 5, 10}
+    nothing = got.where("false")
+    assert landing.land_entries(nothing, "group", fields, ["key"]).count() == 0
