@@ -154,14 +154,53 @@ def link_merge(link, batch, keys, order):
     return link_latest(rows, keys, order)
 
 
-def pit(key, sats):
+def link_partitions(link, batch, keys, order, by):
+    """Incremental link load by partition: the rows of the partitions ``by`` that the batch falls into.
+
+    ``by`` is a column that the keys determine, so that a key has one partition for good. The partitions of a batch
+    are listed on the driver and read by their names, the others are neither read nor returned.
+    """
+    if link is None:
+        return link_latest(batch, keys, order)
+    here = [r[0] for r in batch.select(by).distinct().collect()]
+    named = F.col(by).isin([v for v in here if v is not None])
+    touched = link.filter(named | F.col(by).isNull() if None in here else named)
+    return link_merge(touched, batch, keys, order)
+
+
+def pit_increment(key, before, sats):
+    """The open rows ``before`` of a point-in-time table brought forward over what the satellites added.
+
+    ``before`` has one open interval per key, ``sats`` the versions that may have started since: those in force and
+    those closed by the same batch. Keys without a newer version keep their row; of the others the open interval is
+    cut at each newer start. Returned are all intervals open now and those this batch closed; older ones are not
+    needed. Batches come in time order, as for ``scd2_merge``.
+    """
+    if before is None:
+        return pit(key, sats)
+    since = before.select(key, F.col("effective_from").alias("_since"))
+    newer = {
+        name: sat.join(since, key, "left")
+        .filter(F.col("_since").isNull() | (F.col("effective_from") > F.col("_since")))
+        .drop("_since")
+        for name, sat in sats.items()
+    }
+    keys = reduce(lambda a, b: a.unionByName(b), [s.select(key) for s in newer.values()]).distinct()
+    versions = [f"sat_{name}_version" for name in sats]
+    points = before.join(keys, key, "left_semi").select(key, "effective_from", *versions)
+    cut = pit(key, newer, points)
+    return before.join(keys, key, "left_anti").select(*cut.columns).unionByName(cut)
+
+
+def pit(key, sats, points=None):
     """Point-in-time table over the satellites in ``{name: satellite}``.
 
     Every start of a version in any satellite opens an interval that ends where the next one starts;
-    ``sat_<name>_version`` is the version in force, carried forward over other satellites' changes.
+    ``sat_<name>_version`` is the version in force, carried forward over other satellites' changes. ``points`` are
+    further starts whose versions are known: key, ``effective_from`` and the versions.
     """
     versions = [f"sat_{name}_version" for name in sats]
-    parts = []
+    parts = [] if points is None else [points]
     for name, sat in sats.items():
         here = [
             (F.col("_version") if v == f"sat_{name}_version" else F.lit(None).cast("string")).alias(v)

@@ -9,12 +9,15 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchvault.functions import clean_number, hash_key
 from matchvault.operators import cdc, features, marts, ml, vault
 from matchvault.sources import tables
 
 BATCH = cdc.BATCH
+# Partitions of links, and of histories by the batch that closed a row.
+PART, CLOSED_IN, OPEN = "_part", "_closed_in", "open"
 TECHNICAL = [cdc.LOADED, cdc.DELETED, "_source", BATCH]
 
 
@@ -230,15 +233,51 @@ def open_versions(store, name):
     return store.read(f"detailed.{name}_open")
 
 
-def _load_history(store, entity, key, sat, attrs, hub_cols):
-    """PIT table and history view of an entity with one satellite."""
+def _load_history(store, entity, key, sat, attrs, hub_cols, ds):
+    """PIT table and history view of an entity with one satellite, brought forward by the batch.
+
+    Both are partitioned by the batch that closed an interval. A day rewrites its own partition and the open one; the
+    files of earlier days are neither read nor touched.
+    """
+    name = sat.removeprefix("sat_")
+    now_open = open_versions(store, sat)
+    schema = T.StructType([*now_open.schema.fields, T.StructField(BATCH, T.StringType())])
+    closed = store.read(f"detailed.{sat}_closed", schema)
+    closed = closed.filter(F.col(BATCH).cast("string") == F.lit(ds))
+    rows = now_open.unionByName(closed.select(*now_open.columns))
+    table = f"common.pit_{entity}"
+    before = open_rows(store, table) if store.exists(table) else None
+    store.replace_partitions(_by_close(vault.pit_increment(key, before, {name: rows}), ds), table, [CLOSED_IN])
+    intervals = store.read(table).filter(F.col(CLOSED_IN).isin(OPEN, ds)).drop(CLOSED_IN)
     hub = store.read(f"detailed.hub_{entity}")
-    rows = satellite(store, sat)
-    store.overwrite(vault.pit(key, {sat.removeprefix("sat_"): rows}), f"common.pit_{entity}")
-    view = vault.dimension(
-        hub, store.read(f"common.pit_{entity}"), key, {sat.removeprefix("sat_"): (rows, attrs)}, hub_cols
-    )
-    store.overwrite(view, f"common.dm_{entity}")
+    view = vault.dimension(hub, intervals, key, {name: (rows, attrs)}, hub_cols)
+    store.replace_partitions(_by_close(view, ds), f"common.dm_{entity}", [CLOSED_IN])
+
+
+def _by_close(df, ds):
+    return df.withColumn(CLOSED_IN, F.when(F.col("is_active") == "True", OPEN).otherwise(F.lit(ds)))
+
+
+def open_rows(store, name):
+    """Rows in force of a history table: one partition, however long the history."""
+    return store.read(name).filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN)
+
+
+def _load_link(store, name, batch, keys, order, part):
+    """Merge a batch into a link, rewriting only the partitions that it falls into."""
+    table = f"detailed.{name}"
+    rows = batch.withColumn(PART, part.cast("int"))
+    merged = vault.link_partitions(store.read_or_none(table), rows, keys, order, PART)
+    store.replace_partitions(merged, table, [PART])
+
+
+def link(store, name):
+    return store.read(f"detailed.{name}").drop(PART)
+
+
+def _season(source_id):
+    """The year that a match's source id begins with: four digits before six others."""
+    return F.floor(F.col(source_id) / 1_000_000)
 
 
 def load_teams(store, ds):
@@ -261,10 +300,10 @@ def load_games(store, ds):
     _load_hub(store, "hub_games", batch, "game_id", ["game_business_id", "game_source_id"])
     _load_satellite(store, "sat_games", batch, "game_id", GAME_ATTRS, ds)
     keys = ["game_id", "home_team_id", "visiting_team_id"]
-    all_batches = store.read("operational.games").select("game_date", *keys, cdc.LOADED)
-    store.overwrite(vault.link_latest(all_batches, keys, [cdc.LOADED, "game_date"]), "detailed.tl_teams_games")
+    rows = batch.select("game_date", *keys, cdc.LOADED, "game_source_id")
+    _load_link(store, "tl_teams_games", rows, keys, [cdc.LOADED, "game_date"], _season("game_source_id"))
     _load_history(
-        store, "games", "game_id", "sat_games", [*GAME_ATTRS, cdc.DELETED], ["game_source_id"]
+        store, "games", "game_id", "sat_games", [*GAME_ATTRS, cdc.DELETED], ["game_source_id"], ds
     )
 
 
@@ -276,7 +315,7 @@ def load_players(store, ds):
     _load_satellite(store, "sat_players", named, "player_id", PLAYER_ATTRS, ds)
     _load_history(
         store, "players", "player_id", "sat_players",
-        [*PLAYER_ATTRS[1:], cdc.DELETED], ["player_source_id"],
+        [*PLAYER_ATTRS[1:], cdc.DELETED], ["player_source_id"], ds,
     )
 
 
@@ -287,11 +326,9 @@ def load_standings(store, ds):
     known = vault.without_null_keys(batch, ["team_id"])
     # One load carries two weeks of days; the newest day names the team.
     _load_satellite(store, "sat_teams_core", known, "team_id", TEAM_ATTRS, ds, prefer=["date"])
-    rows = marts.without(store.read("operational.teams_stat"), TEAM_ATTRS)
-    store.overwrite(
-        vault.link_latest(rows, ["team_id", "date"], [cdc.LOADED]), "detailed.tl_teams_stat"
-    )
-    _load_history(store, "teams", "team_id", "sat_teams_core", TEAM_ATTRS, ["team_business_id"])
+    month = F.year("date") * 100 + F.month("date")
+    _load_link(store, "tl_teams_stat", marts.without(batch, TEAM_ATTRS), ["team_id", "date"], [cdc.LOADED], month)
+    _load_history(store, "teams", "team_id", "sat_teams_core", TEAM_ATTRS, ["team_business_id"], ds)
 
 
 def load_game_log(store, ds):
@@ -300,10 +337,7 @@ def load_game_log(store, ds):
     df = _team_key(store, df, "opponent_team_business_id", "opponent_team_id")
     batch = _operational(store, GAME_LOG, ds, df)
     keys = ["game_id", "player_id", "team_id", "opponent_team_id"]
-    link = store.read_or_none("detailed.tl_players_games_stat")
-    store.overwrite(
-        vault.link_merge(link, batch, keys, [cdc.LOADED]), "detailed.tl_players_games_stat"
-    )
+    _load_link(store, "tl_players_games_stat", batch, keys, [cdc.LOADED], _season("game_source_id"))
 
 
 def load_all(store, ds):
@@ -319,13 +353,13 @@ def standings_mart(store):
     names = open_versions(store, "sat_teams_core").select(
         "team_id", "team_name", "conference_name", "division_name"
     )
-    return marts.standings_wide(store.read("detailed.tl_teams_stat"), names, "team_id")
+    return marts.standings_wide(link(store, "tl_teams_stat"), names, "team_id")
 
 
 def games_mart(store, as_of):
-    teams = vault.current(store.read("common.dm_teams"))
-    link = store.read("detailed.tl_teams_games").select("game_id", "home_team_id", "visiting_team_id")
-    games = vault.current(store.read("common.dm_games")).join(link, "game_id")
+    teams = vault.current(open_rows(store, "common.dm_teams"))
+    keys = link(store, "tl_teams_games").select("game_id", "home_team_id", "visiting_team_id")
+    games = vault.current(open_rows(store, "common.dm_games")).join(keys, "game_id")
     sides = {
         f"{s}_team_id": {"team_business_id": f"{s}_team_code", "team_name": f"{s}_team_name"}
         for s in ("home", "visiting")
@@ -359,7 +393,7 @@ def sides_mart(games):
 
 
 def players_mart(store):
-    players = vault.current(store.read("common.dm_players")).withColumn(
+    players = vault.current(open_rows(store, "common.dm_players")).withColumn(
         "player_full_name", marts.full_name("first_name", "last_name")
     )
     shown = [
@@ -367,10 +401,10 @@ def players_mart(store):
         if c not in ("player_id", "player_source_id", "first_name", "last_name", "effective_from",
                      "effective_to", "is_active", cdc.DELETED)
     ]
-    teams = vault.current(store.read("common.dm_teams"))
-    games = vault.current(store.read("common.dm_games"))
+    teams = vault.current(open_rows(store, "common.dm_teams"))
+    games = vault.current(open_rows(store, "common.dm_games"))
     log = marts.without(
-        store.read("detailed.tl_players_games_stat"),
+        link(store, "tl_players_games_stat"),
         [*TECHNICAL, "player_business_id", "game_business_id", "common_name", "opponent_common_name"],
     ).withColumn("game_date", F.col("game_date").cast("date"))
     joins = [

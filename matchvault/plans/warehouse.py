@@ -201,6 +201,17 @@ def link_merge(spark, sf_dir):
     return vault.link_merge(link, rows.filter(~old), LINE_KEY, LINK_ORDER)
 
 
+@query("link_by_partition", LINK_SQL)
+def link_by_partition(spark, sf_dir):
+    """Two loads, the second returning only the partitions it touches: here of ten orders each."""
+    rows = _link_rows(spark, sf_dir).withColumn("_part", F.expr("l_orderkey div 10"))
+    old = F.col("l_shipdate") < F.lit(LINE_SPLIT).cast("timestamp_ntz")
+    first = vault.link_partitions(None, rows.filter(old), LINE_KEY, LINK_ORDER, "_part")
+    second = vault.link_partitions(first, rows.filter(~old), LINE_KEY, LINK_ORDER, "_part")
+    untouched = first.join(rows.filter(~old).select("_part").distinct(), "_part", "left_anti")
+    return untouched.unionByName(second).drop("_part")
+
+
 def _sats(spark, sf_dir):
     batch = fx.user_batch(spark, sf_dir)
     return {
@@ -240,6 +251,40 @@ def _dimension(spark, sf_dir):
     )
 
 
+def _pit_by_batch(spark, sf_dir):
+    """Intervals closed by the first of two batches, then those closed by the second or open, each with the versions
+    that its batch had to read: the open ones and those it closed itself."""
+    early, late = fx.before_after(fx.user_batch(spark, sf_dir))
+    attributes = {"type": "event_type", "band": "band"}
+    first = {n: vault.scd2_merge(None, early, "user_id", [a]) for n, a in attributes.items()}
+    is_open = F.col("is_active") == "True"
+    second = {n: vault.scd2_merge(first[n].filter(is_open), late, "user_id", [a]) for n, a in attributes.items()}
+    before = vault.pit("user_id", first)
+    after = vault.pit_increment("user_id", before.filter(is_open), second)
+    return [(before.filter(~is_open), first), (after, second)]
+
+
+@query("pit_incremental", "WITH" + fx.PIT_SQL + " SELECT * FROM pit")
+def pit_incremental(spark, sf_dir):
+    (closed, _), (rest, _) = _pit_by_batch(spark, sf_dir)
+    return closed.unionByName(rest)
+
+
+@query("dimension_incremental", DIMENSION_SQL + " SELECT * FROM dim")
+def dimension_incremental(spark, sf_dir):
+    hub = vault.hub_load(None, fx.user_batch(spark, sf_dir), "user_id", [])
+    hub = hub.withColumnRenamed("_source_load_datetime", "first_seen")
+    views = [
+        vault.dimension(
+            hub, intervals, "user_id",
+            {"type": (sats["type"], ["event_type", "_source_is_deleted"]), "band": (sats["band"], ["band"])},
+            ["first_seen"],
+        )
+        for intervals, sats in _pit_by_batch(spark, sf_dir)
+    ]
+    return views[0].unionByName(views[1])
+
+
 @query("dimension_view", DIMENSION_SQL + " SELECT * FROM dim")
 def dimension_view(spark, sf_dir):
     return _dimension(spark, sf_dir)

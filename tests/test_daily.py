@@ -2,12 +2,13 @@
 
 import random
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from matchvault.operators import evaluate, ml, serving
+from matchvault.operators import evaluate, ml, serving, vault
 from matchvault.plans import daily
 from matchvault.sources import tables
 
@@ -162,6 +163,49 @@ def test_rerun_of_a_day_changes_nothing(spark, store):
         assert rows(store.read(n), *store.read(n).columns) == before[n], n
 
 
+def _files(store, name):
+    """Partition folder -> names of its data files, for a partitioned table."""
+    (version,) = [p for p in Path(store.root, *name.split(".")).iterdir() if p.name.startswith("v=")]
+    return {p.name: {f.name for f in p.iterdir() if f.suffix == ".parquet"} for p in version.iterdir() if p.is_dir()}
+
+
+def test_a_day_leaves_files_of_other_partitions_alone(spark, tmp_path):
+    """Three days of standings around a month's end, and histories: only touched partitions get new files."""
+    store = tables.TableStore(spark, str(tmp_path))
+    names = ["detailed.tl_teams_stat", "common.pit_teams", "common.dm_teams"]
+    seen = []
+    for ds, logo, days in (("2024-01-31", "a", ["2023-12-31", "2024-01-31"]), ("2024-02-01", "b", ["2024-01-31", "2024-02-01"]),
+                           ("2024-02-02", "c", ["2024-02-01", "2024-02-02"])):
+        teams = [dict(id=i, fullName=f"Team {c}", triCode=c) for i, c in enumerate(TEAMS)]
+        tables.write_snapshot(store, frame(spark, daily.TEAMS, teams), "source.teams", ds, f"{ds} 08:00:00", "API")
+        daily.load_teams(store, ds)
+        made = [
+            dict(teamAbbrev=c, date=d, seasonId=1, teamName=f"Team {c}", teamLogo=logo if c == "AAA" else "x", wins=len(logo))
+            for c in TEAMS for d in days
+        ]
+        df = frame(spark, daily.STANDINGS, made)
+        tables.write_snapshot(store, df, f"source.{daily.STANDINGS.name}", ds, f"{ds} 08:00:00", "API")
+        daily.load_standings(store, ds)
+        seen.append({n: _files(store, n) for n in names})
+    link = [s["detailed.tl_teams_stat"] for s in seen]
+    assert set(link[2]) == {"_part=202312", "_part=202401", "_part=202402"}
+    assert link[1]["_part=202312"] == link[0]["_part=202312"] and link[2]["_part=202401"] == link[1]["_part=202401"]
+    assert not link[1]["_part=202401"] & link[0]["_part=202401"] and not link[2]["_part=202402"] & link[1]["_part=202402"]
+    for name in names[1:]:
+        history = [s[name] for s in seen]
+        assert [set(h) for h in history] == [
+            {"_closed_in=open"}, {"_closed_in=open", "_closed_in=2024-02-01"},
+            {"_closed_in=open", "_closed_in=2024-02-01", "_closed_in=2024-02-02"},
+        ]
+        assert history[2]["_closed_in=2024-02-01"] == history[1]["_closed_in=2024-02-01"]
+    # The same as one rebuild over the whole satellite.
+    whole = vault.pit("team_id", {"teams_core": daily.satellite(store, "sat_teams_core")})
+    got = store.read("common.pit_teams").drop(daily.CLOSED_IN)
+    assert rows(got, *whole.columns) == rows(whole) and got.count() == 6
+    view = store.read("common.dm_teams").filter("team_logo IN ('a', 'b', 'c')").orderBy("effective_from").collect()
+    assert [(r.team_logo, r.is_active) for r in view] == [("a", "False"), ("b", "False"), ("c", "True")]
+
+
 def test_link_keeps_newest_standings(store):
     link = store.read("detailed.tl_teams_stat")
     assert link.count() == link.select("team_id", "date").distinct().count()
