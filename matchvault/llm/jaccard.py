@@ -37,6 +37,7 @@ SKETCH = 8  # words of 64 bits; each token flips one bit, so two sketches differ
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
 HOT = 14  # frequency class, the log of a token's count, from which on its postings never meet in a window
 BROADCAST = 1_000_000
+BLOCK = 1 << 19  # bytes of text worked on at once
 HELD = 1 << 19  # distinct tokens that a task counts at once
 
 
@@ -57,7 +58,7 @@ def _profile(width):
         held, counts, loose = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
         for batch in batches:
             ids = batch.column("row_id")
-            for rows, data, offsets in kernels.blocks(batch):
+            for rows, data, offsets in kernels.blocks(batch, limit=BLOCK):
                 hashes, first = kernels.shingles(data, offsets, width)
                 sizes = np.diff(first)
                 some = sizes > 0
@@ -126,7 +127,7 @@ def _met(batches, width, wanted):
     """``(node, n, hashes, bounds)`` of the nodes first met in each block: their names, sizes and tokens."""
     met = set()
     for batch in batches:
-        for rows, data, offsets in kernels.blocks(batch):
+        for rows, data, offsets in kernels.blocks(batch, limit=BLOCK):
             hashes, first = kernels.shingles(data, offsets, width)
             node, sizes = _nodes(first, hashes), np.diff(first)
             one = np.flatnonzero(sizes > 0)

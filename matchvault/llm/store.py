@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts are long and several tasks share an executor's memory, so Arrow batches are kept short."""
+    """Texts are long and several tasks share an executor's memory, so Arrow and Parquet batches are kept short."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
