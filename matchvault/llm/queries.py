@@ -35,14 +35,15 @@ def query(name, sql=None):
     return register
 
 
-def table(spark, sf_dir, name):
-    small_batches(spark)
+def table(spark, sf_dir, name, **batches):
+    small_batches(spark, **batches)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query("op1_ngram_jaccard_join")
 def op1_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_groups(table(spark, sf_dir, "documents")).drop("version")
+    docs = table(spark, sf_dir, "documents", rows=1000, size="4m", read=512)
+    return jaccard_groups(docs).drop("version")
 
 
 @query("op8_suffix_array_dedup")
@@ -149,7 +150,7 @@ def op12_periodic_runs(spark, sf_dir):
 
 @query("op11_kneser_ney_score")
 def op11_kneser_ney_score(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", size="16m").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     model = train(docs.where(~held_out))
     return score(docs, model).select(

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Texts are long and several tasks share an executor's memory, so Arrow and Parquet batches are kept short."""
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "64m", read: int = 4096) -> None:
+    """Texts are long and several tasks share an executor's memory, so batches are kept short: of ``rows`` and ``size`` on
+    the way to Python, of ``read`` rows in Parquet readers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(read))
 
 
 def shared_folder(spark: SparkSession) -> str:
