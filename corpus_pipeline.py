@@ -13,8 +13,13 @@ from matchvault.llm.secrets_scan import redacted
 from matchvault.llm.store import small_batches, written
 
 
+def _short(spark):
+    """One executor works for all stages, and keeps some of the memory that each batch size needs."""
+    small_batches(spark, rows=300, size="1m", read=512)
+
+
 def _table(spark, sf_dir, name):
-    small_batches(spark)
+    _short(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    small_batches(spark)
+    _short(spark)
     return without_near_copies(docs)
 
 
@@ -36,12 +41,13 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets replaced; ``n_chars`` follows the text."""
+    _short(spark)
     return redacted(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether they spell its text."""
-    small_batches(spark)
+    _short(spark)
     spelled = decode(encode(docs.select("doc_id", "lang", "source", "text")))
     return spelled.select(
         "doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
