@@ -16,6 +16,7 @@ from matchvault.functions import (
     winner_name,
 )
 from matchvault.operators.cdc import delete_by_key, first_per_key, upsert
+from matchvault.sources.keyed import KeyedTable
 
 # Fixed value: hours from the stored start time to the time zone shown to users.
 SHOWN_TIME_SHIFT = 3
@@ -187,6 +188,16 @@ def clear_favourites(favourites, users):
     return delete_by_key(favourites, users, ["user_id"])
 
 
+def bet_table(store, name, schema, buckets=64):
+    """Stored bets by (user, game): saving a batch rewrites the buckets of its keys only."""
+    return KeyedTable(store, name, ["user_id", "game_id"], schema, buckets)
+
+
+def favourite_table(store, name, schema, buckets=64):
+    """Stored favourite team by user."""
+    return KeyedTable(store, name, ["user_id"], schema, buckets)
+
+
 def check_bets(bets, score="score", winner="home_team_winner"):
     """Bets with the parsed score and whether it is valid: two integers that fit the picked winner."""
     parsed = bets.withColumn("_score", parse_score(score))

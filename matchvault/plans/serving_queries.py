@@ -7,6 +7,7 @@ from matchvault.operators import cdc, serving, vault
 from matchvault.plans import fixtures as fx
 from matchvault.plans import mart_queries as mq
 from matchvault.plans.registry import iso_dates, query, table
+from matchvault.sources.tables import scratch_store
 
 NOW = "2000-01-01"
 CUP = "\N{TROPHY}"
@@ -307,6 +308,32 @@ def favourite_upsert(spark, sf_dir):
     return serving.clear_favourites(saved, saved.filter(F.col("team_id") == "error"))
 
 
+KEPT_DAYS = ("2024-01-10", "2024-01-20")
+
+
+@query(
+    "bets_by_bucket",
+    f"""
+SELECT user_id, event_type AS game_id, event_id, value, ts AS selected_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) rn FROM events)
+WHERE rn = 1 AND (event_type <> 'error' OR user_id % 3 <> 0 OR ts >= TIMESTAMP '{KEPT_DAYS[1]}')""",
+)
+def bets_by_bucket(spark, sf_dir):
+    """Bets saved in three batches, some withdrawn before the last one, in a table that rewrites touched buckets."""
+    rows = table(spark, sf_dir, "events").select(
+        "user_id", F.col("event_type").alias("game_id"), "event_id", "value", F.col("ts").alias("selected_at")
+    )
+    bets = serving.bet_table(scratch_store(spark), "public.bets", rows.schema)
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in KEPT_DAYS)
+    at = F.col("selected_at")
+    order = ["selected_at", "event_id"]
+    bets.upsert(rows.filter(at < start), order)
+    bets.upsert(rows.filter((at >= start) & (at < end)), order)
+    bets.delete(rows.filter((F.col("game_id") == "error") & (F.col("user_id") % 3 == 0)))
+    bets.upsert(rows.filter(at >= end), order)
+    return bets.read()
+
+
 @query(
     "win_pct_series",
     "WITH"

@@ -5,6 +5,9 @@ readers take the newest version that has Spark's ``_SUCCESS`` marker, so ``new =
 replace one table, and a failed or lost job leaves the old version in force.
 """
 
+import tempfile
+import uuid
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -121,6 +124,16 @@ class TableStore:
             fs.delete(path, True)
 
 
+def scratch_store(spark):
+    """A store in a new folder under ``spark.checkpoint.dir``; under a local one only where that is unset in a local session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="store-")
+    return TableStore(spark, f"{folder.rstrip('/')}/store-{uuid.uuid4().hex}")
+
+
 SNAPSHOT = "snapshot_date"
 LOG = "source.load_log"
 LOG_SCHEMA = "table_name string, updated_at timestamp_ntz"
