@@ -9,6 +9,7 @@ from matchvault.operators.cdc import DELETED, LOADED, latest_per_key
 from matchvault.operators.scan import following, last_known, ordered_scan, previous
 
 SOURCE = "_source"
+REJECTED = "_rejected_for"
 # Fixed value: the end of an interval that is still open.
 OPEN_END = "2040-01-01 00:00:00"
 
@@ -43,6 +44,32 @@ def lookup_key(df, hub, business_key, on, key, as_):
     return df.join(small, df[on] == small["_bk"], "left").drop("_bk")
 
 
+def checked(df, required, lookups=()):
+    """Add ``_rejected_for``: why a row cannot be loaded, NULL for rows that can.
+
+    ``required`` names columns without which a row has no place. ``lookups`` gives ``surrogate key: business key``, where
+    ``lookup_key`` has left the surrogate NULL for a business key that the hub does not know. All reasons of a row are
+    given. Both outputs come from one pass: write the checked rows once, then read ``admitted`` and ``rejected`` from it.
+    """
+    lookups = dict(lookups)
+    gaps = [F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in [*required, *lookups.values()]]
+    known = [
+        F.when(F.col(k).isNull() & F.col(b).isNotNull(), F.concat(F.lit(f"{b} "), F.col(b).cast("string"), F.lit(" is unknown")))
+        for k, b in lookups.items()
+    ]
+    why = F.concat_ws("; ", *gaps, *known)
+    return df.withColumn(REJECTED, F.when(why != "", why))
+
+
+def admitted(df):
+    return df.filter(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected(df):
+    """Rows kept apart, with the reason."""
+    return df.filter(F.col(REJECTED).isNotNull())
+
+
 def with_null_keys(df, keys):
     """Rows that cannot be linked because a key is missing."""
     return df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))

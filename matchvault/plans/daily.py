@@ -189,18 +189,28 @@ def _business_key(df, entity):
     )
 
 
-def _operational(store, extract, ds, df):
-    """Keep the batch (a rerun replaces it) and read it back."""
+def _operational(store, extract, ds, df, required, lookups=()):
+    """Keep the batch, checked (a rerun replaces it), and read back the rows that can be loaded."""
     name = f"operational.{extract.name}"
-    store.replace_partitions(df, name, [BATCH])
+    store.replace_partitions(vault.checked(df, required, lookups), name, [BATCH])
     return batch_of(store, extract, ds)
 
 
-def batch_of(store, extract, ds):
+def _checked_batch(store, extract, ds):
     rows = store.read(f"operational.{extract.name}")
     return rows.filter(F.col(BATCH).cast("string") == F.lit(ds))
 
 
+def batch_of(store, extract, ds):
+    """Rows of a batch that could be loaded."""
+    return vault.admitted(_checked_batch(store, extract, ds))
+
+
+def rejects_of(store, extract, ds):
+    """Rows of a batch kept apart, with ``_rejected_for``; with ``batch_of`` they make up the whole batch."""
+    return vault.rejected(_checked_batch(store, extract, ds))
+
+
 def _load_hub(store, name, batch, key, attrs):
     """Append the new keys; what is in the hub is never rewritten."""
     table = f"detailed.{name}"
@@ -283,7 +293,7 @@ def _season(source_id):
 def load_teams(store, ds):
     df = standard(stage(store, TEAMS, ds), TEAMS)
     df = df.withColumn("team_id", hash_key("team_source_id", "_source"))
-    batch = _operational(store, TEAMS, ds, df)
+    batch = _operational(store, TEAMS, ds, df, ["team_source_id"])
     _load_hub(store, "hub_teams", batch, "team_id", ["team_business_id", "team_source_id"])
 
 
@@ -296,7 +306,8 @@ def load_games(store, ds):
     df = _business_key(standard(stage(store, GAMES, ds), GAMES), "game")
     for side in ("home", "visiting"):
         df = df.withColumn(f"{side}_team_id", hash_key(f"{side}_team_source_id", "_source"))
-    batch = _operational(store, GAMES, ds, df)
+    required = ["game_source_id", "home_team_source_id", "visiting_team_source_id"]
+    batch = _operational(store, GAMES, ds, df, required)
     _load_hub(store, "hub_games", batch, "game_id", ["game_business_id", "game_source_id"])
     _load_satellite(store, "sat_games", batch, "game_id", GAME_ATTRS, ds)
     keys = ["game_id", "home_team_id", "visiting_team_id"]
@@ -309,7 +320,9 @@ def load_games(store, ds):
 
 def load_players(store, ds):
     df = _business_key(standard(stage(store, ROSTER, ds), ROSTER), "player")
-    batch = _operational(store, ROSTER, ds, _team_key(store, df, "team_business_id", "team_id"))
+    # A player of an unknown team is still a player: the satellite keeps the team's code.
+    df = _team_key(store, df, "team_business_id", "team_id")
+    batch = _operational(store, ROSTER, ds, df, ["player_source_id"])
     _load_hub(store, "hub_players", batch, "player_id", ["player_business_id", "player_source_id"])
     named = batch.withColumn("team_tri_code", F.col("team_business_id"))
     _load_satellite(store, "sat_players", named, "player_id", PLAYER_ATTRS, ds)
@@ -322,10 +335,10 @@ def load_players(store, ds):
 def load_standings(store, ds):
     df = standard(stage(store, STANDINGS, ds), STANDINGS)
     df = df.withColumn("date", F.col("date").cast("date"))
-    batch = _operational(store, STANDINGS, ds, _team_key(store, df, "team_business_id", "team_id"))
-    known = vault.without_null_keys(batch, ["team_id"])
+    df = _team_key(store, df, "team_business_id", "team_id")
+    batch = _operational(store, STANDINGS, ds, df, ["date"], {"team_id": "team_business_id"})
     # One load carries two weeks of days; the newest day names the team.
-    _load_satellite(store, "sat_teams_core", known, "team_id", TEAM_ATTRS, ds, prefer=["date"])
+    _load_satellite(store, "sat_teams_core", batch, "team_id", TEAM_ATTRS, ds, prefer=["date"])
     month = F.year("date") * 100 + F.month("date")
     _load_link(store, "tl_teams_stat", marts.without(batch, TEAM_ATTRS), ["team_id", "date"], [cdc.LOADED], month)
     _load_history(store, "teams", "team_id", "sat_teams_core", TEAM_ATTRS, ["team_business_id"], ds)
@@ -335,7 +348,8 @@ def load_game_log(store, ds):
     df = _business_key(standard(stage(store, GAME_LOG, ds), GAME_LOG), "game")
     df = _team_key(store, _business_key(df, "player"), "team_business_id", "team_id")
     df = _team_key(store, df, "opponent_team_business_id", "opponent_team_id")
-    batch = _operational(store, GAME_LOG, ds, df)
+    teams = {"team_id": "team_business_id", "opponent_team_id": "opponent_team_business_id"}
+    batch = _operational(store, GAME_LOG, ds, df, ["game_source_id", "player_source_id"], teams)
     keys = ["game_id", "player_id", "team_id", "opponent_team_id"]
     _load_link(store, "tl_players_games_stat", batch, keys, [cdc.LOADED], _season("game_source_id"))
 

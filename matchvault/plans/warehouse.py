@@ -6,6 +6,7 @@ from matchvault.functions import data_hash, hash_key, mmss_to_seconds
 from matchvault.operators import cdc, vault
 from matchvault.plans import fixtures as fx
 from matchvault.plans.registry import query, table
+from matchvault.sources.tables import scratch_store
 from matchvault.sources.landing import json_field
 
 COMPARE = ["c_name", "c_mktsegment", "priority", "status"]
@@ -151,6 +152,36 @@ def two_role_key_lookup(spark, sf_dir):
     return two.drop("home_team_code", "visiting_team_code")
 
 
+# Teams that the hub does not know yet, and the status under which the extract names no team.
+UNKNOWN_REGION, NAMELESS = 3, "P"
+
+
+@query(
+    "quarantine_unknown_keys",
+    f"""
+SELECT o_orderkey, c_nationkey, CASE WHEN n_nationkey IS NOT NULL THEN sha1(concat_ws('_', c_nationkey, 'SRC')) END AS team_id,
+       n_nationkey IS NOT NULL AS loaded,
+       CASE WHEN c_nationkey IS NULL THEN 'c_nationkey is missing'
+            WHEN n_nationkey IS NULL THEN 'c_nationkey ' || c_nationkey || ' is unknown' END AS _rejected_for
+FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> '{NAMELESS}' THEN c_nationkey END AS c_nationkey
+      FROM orders JOIN customer ON o_custkey = c_custkey) AS log
+LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> {UNKNOWN_REGION}) AS hub ON c_nationkey = n_nationkey""",
+)
+def quarantine_unknown_keys(spark, sf_dir):
+    """A load whose hub lacks a region's teams: rows written once, then what was loaded and what was kept apart."""
+    store = scratch_store(spark)
+    known = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != UNKNOWN_REGION)
+    hub = known.select("n_nationkey", hash_key("n_nationkey", F.lit("SRC")).alias("team_key"))
+    team = F.when(F.col("o_orderstatus") != NAMELESS, F.col("c_nationkey")).alias("c_nationkey")
+    customers = table(spark, sf_dir, "customer")
+    log = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", team)
+    keyed = vault.lookup_key(log, hub, "n_nationkey", "c_nationkey", "team_key", "team_id")
+    store.overwrite(vault.checked(keyed, ["o_orderkey"], {"team_id": "c_nationkey"}), "operational.log")
+    batch = store.read("operational.log")
+    loaded = vault.admitted(batch).withColumns({"loaded": F.lit(True), "_rejected_for": F.lit(None).cast("string")})
+    return loaded.unionByName(vault.rejected(batch).withColumn("loaded", F.lit(False)))
+
+
 @query(
     "hub_load",
     """

@@ -206,6 +206,42 @@ def test_a_day_leaves_files_of_other_partitions_alone(spark, tmp_path):
     assert [(r.team_logo, r.is_active) for r in view] == [("a", "False"), ("b", "False"), ("c", "True")]
 
 
+def test_rows_that_cannot_be_loaded_are_kept_apart(spark, tmp_path):
+    """Every load: rows in are rows loaded and rows rejected, each with its reasons, on the day and on a rerun."""
+    store, ds = tables.TableStore(spark, str(tmp_path)), DAYS[0]
+    sent = {}
+    for extract, make in SOURCES:
+        good = list(make(ds))
+        bad = [dict(good[0]) | {extract.keys[0]: None}]
+        if extract is daily.GAMES:
+            bad.append(good[1] | dict(id=1, homeTeamId=None))
+        if extract is daily.ROSTER:
+            good.append(good[1] | dict(id=1, triCodeCurrent="ZZZ"))
+        if extract is daily.STANDINGS:
+            bad += [good[0] | dict(teamAbbrev="ZZZ"), good[0] | dict(date=None)]
+        if extract is daily.GAME_LOG:
+            bad += [good[0] | dict(playerId=1, teamAbbrev="YYY", opponentAbbrev="ZZZ"), good[0] | dict(playerId=2, opponentAbbrev=None)]
+        sent[extract.name] = len(good), len(bad)
+        df = frame(spark, extract, good + bad)
+        tables.write_snapshot(store, df, f"source.{extract.name}", ds, f"{ds} 08:00:00", "API")
+    for _ in range(2):
+        daily.load_all(store, ds)
+        got = {e.name: (daily.batch_of(store, e, ds).count(), daily.rejects_of(store, e, ds).count()) for e, _ in SOURCES}
+        assert got == sent
+    why = {e.name: sorted(r._rejected_for for r in daily.rejects_of(store, e, ds).collect()) for e, _ in SOURCES}
+    assert why["teams"] == ["team_source_id is missing"]
+    assert why["games"] == ["game_source_id is missing", "home_team_source_id is missing"]
+    assert why["teams_stat"] == ["date is missing", "team_business_id ZZZ is unknown", "team_business_id is missing"]
+    assert why["players_games_stat"] == [
+        "game_source_id is missing", "opponent_team_business_id is missing",
+        "team_business_id YYY is unknown; opponent_team_business_id ZZZ is unknown",
+    ]
+    assert store.read("detailed.hub_games").count() == 60 and store.read("detailed.hub_players").count() == 13
+    assert daily.link(store, "tl_players_games_stat").count() == sent["players_games_stat"][0]
+    assert daily.link(store, "tl_teams_stat").count() == sent["teams_stat"][0]
+    assert vault.REJECTED not in daily.link(store, "tl_teams_stat").columns
+
+
 def test_link_keeps_newest_standings(store):
     link = store.read("detailed.tl_teams_stat")
     assert link.count() == link.select("team_id", "date").distinct().count()
