@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from matchvault.operators import evaluate, features, ml
+from matchvault.operators import evaluate, features, kernel, ml
 from matchvault.plans import fixtures as fx
 from matchvault.plans.registry import iso_dates, query
 
@@ -194,7 +194,10 @@ FROM labelled WHERE game_date >= DATE '{CUTOFF}' AND home_team_winner IS NOT NUL
 def _scores(spark, sf_dir, classifier, threshold, is_probability=True):
     """Every hold-out row scored, with what must hold for its score and decision."""
     model, test = trained(spark, sf_dir, classifier)
-    scored = ml.score(model, test, threshold)
+    return _checked_scores(ml.score(model, test, threshold), threshold, is_probability)
+
+
+def _checked_scores(scored, threshold, is_probability=True):
     score = F.col("score")
     in_range = score.between(0, 1) if is_probability else ~F.isnan(score) & (F.abs(score) < float("inf"))
     return iso_dates(
@@ -216,6 +219,14 @@ def train_svm(spark, sf_dir):
     return _scores(spark, sf_dir, ml.svm(), 0.0, is_probability=False)
 
 
+@query("train_kernel_svm", SCORES_SQL)
+def train_kernel_svm(spark, sf_dir):
+    """The support vector machine with a Gaussian kernel and probabilities."""
+    train, test = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    model = kernel.fit_kernel_svm(train, NUMERIC, CATEGORICAL)
+    return _checked_scores(ml.score(model, test, 0.52), 0.52)
+
+
 @query("train_gbt", SCORES_SQL)
 def train_gbt(spark, sf_dir):
     return _scores(spark, sf_dir, ml.boosted_trees(), 0.52)
@@ -250,6 +261,8 @@ def model_comparison(spark, sf_dir):
     ):
         model = ml.fit(train, NUMERIC, CATEGORICAL, classifier)
         called[name] = (ml.score(model, test, threshold), threshold)
+    model = kernel.fit_kernel_svm(train, NUMERIC, CATEGORICAL)
+    called["Kernel Support Vector Machine"] = (ml.score(model, test, 0.52), 0.52)
     union = reduce(
         lambda a, b: a.unionByName(b),
         [

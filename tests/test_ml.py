@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from matchvault.operators import evaluate, ml
+from matchvault.operators import evaluate, kernel, ml
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +41,46 @@ def test_model_is_saved_and_loaded(spark, training, tmp_path):
     assert rows(ml.score(again, training)) == rows(ml.score(model, training))
 
 
+def test_kernel_machine_learns_a_ring(spark, tmp_path):
+    """A disc inside a ring, which no line divides; probabilities agree with the shares of wins."""
+    rnd, data = random.Random(4), []
+    for i in range(900):
+        x, y = rnd.uniform(-2, 2), rnd.uniform(-2, 2)
+        data.append((i, x, y, rnd.choice("AB"), float(x * x + y * y + rnd.gauss(0, 0.3) < 1.6)))
+    rows_ = spark.createDataFrame(data, "id int, x double, y double, team string, label double")
+    train, test = rows_.filter("id % 3 > 0"), rows_.filter("id % 3 = 0")
+    model = kernel.fit_kernel_svm(train, ["x", "y"], ["team"])
+    scored = ml.score(model, test, 0.5)
+    assert scored.columns == [*test.columns, "score", "y_pred"] and scored.filter("score BETWEEN 0 AND 1").count() == 300
+    found = evaluate.classifier_metrics(scored, y="label").first()
+    linear = ml.score(ml.fit(train, ["x", "y"], ["team"], ml.svm()), test)
+    guess = evaluate.random_guess(test, "id")
+    assert found["accuracy"] > 0.85
+    for other in (linear, guess):
+        assert found["accuracy"] > evaluate.classifier_metrics(other, y="label").first()["accuracy"] + 0.15
+    for low, high in ((0, 0.2), (0.8, 1.001)):
+        share, mean = scored.filter(f"score >= {low} AND score < {high}").agg(F.avg("label"), F.avg("score")).first()
+        assert abs(share - mean) < 0.15
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert rows(ml.score(again, test, 0.5)) == rows(scored)
+
+
+def test_kernel_width_and_features(spark):
+    """The width is that of the entries, and inner products of the features are near the kernel."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    x = np.random.default_rng(1).normal(1, 2, (40, 3))
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(x.tolist())], ["id", "features"])
+    gamma, width = kernel.kernel_width(df, "features")
+    assert width == 3 and abs(gamma - 1 / (3 * x.var())) < 1e-9
+    out = kernel.FourierFeatures(inputCol="features", outputCol="z", gamma=gamma, width=3, dimensions=2000).transform(df)
+    z = np.array([r.z.toArray() for r in out.orderBy("id").collect()])
+    want = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.abs(z @ z.T - want).max() < 0.12
+
+
 def test_merge_predictions(spark):
     schema = "id int, game_date date, p double"
     old = spark.createDataFrame([(1, date(2024, 1, 1), 0.1), (2, date(2024, 1, 3), 0.2)], schema)
