@@ -67,13 +67,15 @@ def boosted_trees(label="label", rounds=20, step=0.1):
 
 
 def fit(train, numeric, categorical, classifier):
-    """Fitted pipeline; ``classifier`` may be a function of the number of training rows.
+    """Fitted pipeline; ``classifier`` may be a function of the number of training rows, or fit the rows itself.
 
     Each stage is a pass over the training rows, so they are kept once (spilling to disk) and a lost
     part is computed again.
     """
     kept = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if hasattr(classifier, "fit_rows"):
+            return classifier.fit_rows(kept, numeric, categorical)
         if callable(classifier):
             classifier = classifier(kept.count())
         return Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(kept)
@@ -95,6 +97,8 @@ def score(model, df, threshold=PRODUCTION_THRESHOLD):
 def feature_importance(model, numeric, categorical, spark):
     """Importance per input column, one-hot slots added up to their column."""
     last = model.stages[-1]
+    if hasattr(last, "importances"):
+        return spark.createDataFrame(last.importances(), "feature string, feature_importance double")
     weights = (
         last.featureImportances.toArray()
         if hasattr(last, "featureImportances")

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from matchvault.operators import evaluate, features, kernel, ml
+from matchvault.operators import boost, evaluate, features, kernel, ml
 from matchvault.plans import fixtures as fx
 from matchvault.plans.registry import iso_dates, query
 
@@ -276,6 +276,135 @@ def model_comparison(spark, sf_dir):
     return evaluate.leaderboard(evaluate.classifier_metrics(union, by=["model", "threshold"]))
 
 
+# --- Newton trees: the rows as SQL, the statistics of categories by earlier rows, and three small trees in SQL
+
+STATISTIC_ORDER = ["game_date", "game_source_id"]
+MODEL_ROWS_SQL = f"""
+formed AS (
+  SELECT game_source_id, game_date, season, home_team_code, visiting_team_code, home_team_winner AS y,
+         month(game_date)::DOUBLE AS game_month,
+         coalesce(sum(CASE WHEN home_team_winner IS NULL THEN 0 ELSE 1 END) OVER w, 0)::DOUBLE AS home_matches,
+         sum(home_team_winner) OVER w::DOUBLE
+           / nullif(sum(CASE WHEN home_team_winner IS NULL THEN 0 ELSE 1 END) OVER w, 0)::DOUBLE AS home_win_pctg
+  FROM labelled
+  WINDOW w AS (PARTITION BY home_team_code, season ORDER BY {", ".join(fx.MATCH_ORDER)}
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+model_rows AS (SELECT *, game_date < DATE '{CUTOFF}' AS trains FROM formed WHERE y IS NOT NULL)"""
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _statistic_sql(c):
+    """The statistic of ``c`` by earlier training rows."""
+    w = f"OVER (PARTITION BY {c} ORDER BY {', '.join(STATISTIC_ORDER)} {_BEFORE})"
+    return f"(coalesce(sum(y) {w}, 0) + {boost.PRIOR} * {boost.PRIOR_WEIGHT})::DOUBLE / (count(*) {w} + {boost.PRIOR_WEIGHT})"
+
+
+@query(
+    "ordered_category_statistics",
+    "WITH"
+    + fx.LABELLED_SQL
+    + ","
+    + MODEL_ROWS_SQL
+    + "SELECT game_source_id, "
+    + ", ".join(f"{_statistic_sql(c)} AS {c}_before" for c in CATEGORICAL)
+    + " FROM model_rows WHERE trains",
+)
+def ordered_category_statistics(spark, sf_dir):
+    """Each training match with the home wins among the earlier ones of its season and of either team."""
+    train, _ = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    out = boost.ordered_statistics(train, CATEGORICAL, STATISTIC_ORDER)
+    return out.select("game_source_id", *[f"{c}_before" for c in CATEGORICAL])
+
+
+# Cuts, rounds and levels of the trees that SQL repeats; the other settings are those of the production model.
+SMALL_NUMERIC = {
+    "home_matches": [5.0, 20.0, 60.0, 150.0],
+    "home_win_pctg": [0.3, 0.45, 0.5, 0.55, 0.7],
+    "game_month": [3.0, 6.0, 9.0],
+}
+SMALL_CATEGORICAL = ["home_team_code", "visiting_team_code"]
+SMALL_ROUNDS, SMALL_DEPTH, SMALL_STEP = 3, 2, 0.5
+
+
+def _bin_sql(value, borders):
+    return f"CASE WHEN {value} IS NULL THEN 0 ELSE 1 + " + " + ".join(f"({value} > {b})::INT" for b in borders) + " END"
+
+
+def _small_trees_sql():
+    """Rounds and levels one after the other: sums by node, feature and bin, the best cut, the next level's nodes."""
+    even = [(i + 1) / (boost.CATEGORY_CUTS + 1) for i in range(boost.CATEGORY_CUTS)]
+    numbers = [_bin_sql(c, borders) for c, borders in SMALL_NUMERIC.items()]
+    widths = [len(b) + 1 for b in SMALL_NUMERIC.values()] + [len(even) + 1] * len(SMALL_CATEGORICAL)
+    known = lambda c: f"(sum(y) + {boost.PRIOR} * {boost.PRIOR_WEIGHT})::DOUBLE / (count(*) + {boost.PRIOR_WEIGHT})"
+    parts = [
+        "stat_train AS MATERIALIZED (SELECT *, "
+        + ", ".join(f"{_statistic_sql(c)} AS s_{c}" for c in SMALL_CATEGORICAL)
+        + " FROM model_rows WHERE trains)"
+    ]
+    parts += [
+        f"all_{c} AS (SELECT {c}, {known(c)} AS s_{c} FROM model_rows WHERE trains GROUP BY {c})" for c in SMALL_CATEGORICAL
+    ]
+    joins = " ".join(f"LEFT JOIN all_{c} USING ({c})" for c in SMALL_CATEGORICAL)
+    unseen = ", ".join(f"coalesce(s_{c}, {boost.PRIOR}) AS s_{c}" for c in SMALL_CATEGORICAL)
+    bins = ", ".join([*numbers, *[_bin_sql(f"s_{c}", even) for c in SMALL_CATEGORICAL]])
+    cuts = ", ".join(f"({f}, {k})" for f, width in enumerate(widths) for k in range(width))
+    parts += [
+        f"stat_test AS (SELECT m.*, {unseen} FROM model_rows m {joins} WHERE NOT trains)",
+        "told AS (SELECT * FROM stat_train UNION ALL SELECT * FROM stat_test)",
+        f"cuts(f, k) AS (VALUES {cuts})",
+        f"r0 AS MATERIALIZED (SELECT game_source_id, game_date, y, trains, [{bins}] AS bins, 0.0::DOUBLE AS margin FROM told)",
+    ]
+    side = lambda what, test: f"coalesce(sum({what}) FILTER (bin {test} k), 0)"
+    term = lambda test: f"{side('g', test)} ** 2 / ({side('h', test)} + {boost.L2})"
+    for r in range(SMALL_ROUNDS):
+        parts.append(f"n{r}_0 AS MATERIALIZED (SELECT *, 1 / (1 + exp(-margin)) AS p, 0 AS node FROM r{r})")
+        for level in range(SMALL_DEPTH):
+            at = f"{r}_{level}"
+            parts += [
+                f"h{at} AS MATERIALIZED (SELECT node, f, bin, sum(g) AS g, sum(h) AS h FROM (SELECT node, y - p AS g, p * (1 - p) AS h, "
+                f"unnest(bins) AS bin, unnest({list(range(len(widths)))}) AS f FROM n{at} WHERE trains) GROUP BY ALL)",
+                f"c{at} AS MATERIALIZED (SELECT f, k FROM (SELECT f, k, node, {term('<=')} + {term('>')} AS gain "
+                f"FROM h{at} JOIN cuts USING (f) GROUP BY ALL) GROUP BY f, k ORDER BY round(sum(gain), 9) DESC, f, k LIMIT 1)",
+                f"n{r}_{level + 1} AS MATERIALIZED (SELECT n.* REPLACE (node + CASE WHEN bins[f + 1] > k THEN {1 << level} "
+                f"ELSE 0 END AS node) FROM n{at} n, c{at})",
+            ]
+        last = f"n{r}_{SMALL_DEPTH}"
+        parts += [
+            f"l{r} AS (SELECT node, {SMALL_STEP} * sum(y - p) / (sum(p * (1 - p)) + {boost.L2}) AS leaf "
+            f"FROM {last} WHERE trains GROUP BY node)",
+            f"r{r + 1} AS MATERIALIZED (SELECT game_source_id, game_date, y, trains, bins, margin + coalesce(leaf, 0) AS margin "
+            f"FROM {last} LEFT JOIN l{r} USING (node))",
+        ]
+    return (
+        "WITH" + fx.LABELLED_SQL + "," + MODEL_ROWS_SQL + ",\n" + ",\n".join(parts) + f"""
+SELECT game_source_id, strftime(game_date, '%Y-%m-%d') AS game_date, y::DOUBLE AS label,
+       round(1 / (1 + exp(-margin)), 6) AS score, CASE WHEN 1 / (1 + exp(-margin)) >= 0.5 THEN 1 ELSE 0 END AS y_pred
+FROM r{SMALL_ROUNDS} WHERE NOT trains"""
+    )
+
+
+@query("newton_trees_small", _small_trees_sql())
+def newton_trees_small(spark, sf_dir):
+    """Hold-out scores of three trees of two levels."""
+    train, test = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    settings = boost.NewtonBoosting(
+        tuple(STATISTIC_ORDER), rounds=SMALL_ROUNDS, depth=SMALL_DEPTH, step=SMALL_STEP, borders=SMALL_NUMERIC
+    )
+    model = ml.fit(train, list(SMALL_NUMERIC), SMALL_CATEGORICAL, settings)
+    scored = ml.score(model, test, 0.5)
+    return iso_dates(scored.select("game_source_id", "game_date", "label", F.round("score", 6).alias("score"), "y_pred"))
+
+
+@query("train_newton_trees")
+def train_newton_trees(spark, sf_dir):
+    """Hold-out scores of the production model: total step 25, six levels, l2 of 7."""
+    train, test = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    model = ml.fit(train, NUMERIC, CATEGORICAL, boost.NewtonBoosting(tuple(STATISTIC_ORDER)))
+    scored = ml.score(model, test, 0.52)
+    return iso_dates(scored.select("game_source_id", "game_date", "label", "score", "y_pred"))
+
+
 @query(
     "merge_predictions",
     "WITH"
