@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from matchvault.operators.ml import DEPTH
 from matchvault.operators.scan import _written, ordered_scan, sum_before
 
-ROUNDS_PER_CHECKPOINT = 10
+ROUNDS_PER_CHECKPOINT = 5
 # Gains that differ by less are equal: sums of doubles depend on the order in which tasks end.
 DIGITS = 9
 

@@ -396,15 +396,6 @@ def newton_trees_small(spark, sf_dir):
     return iso_dates(scored.select("game_source_id", "game_date", "label", F.round("score", 6).alias("score"), "y_pred"))
 
 
-@query("train_newton_trees")
-def train_newton_trees(spark, sf_dir):
-    """Hold-out scores of the production model: total step 25, six levels, l2 of 7."""
-    train, test = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
-    model = ml.fit(train, NUMERIC, CATEGORICAL, boost.NewtonBoosting(tuple(STATISTIC_ORDER)))
-    scored = ml.score(model, test, 0.52)
-    return iso_dates(scored.select("game_source_id", "game_date", "label", "score", "y_pred"))
-
-
 @query(
     "merge_predictions",
     "WITH"
