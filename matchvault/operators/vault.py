@@ -12,6 +12,8 @@ SOURCE = "_source"
 REJECTED = "_rejected_for"
 # Fixed value: the end of an interval that is still open.
 OPEN_END = "2040-01-01 00:00:00"
+# Partitions that a filter names; more of them are found by a join.
+NAMED_PARTITIONS = 1000
 
 
 def _open_end(df):
@@ -185,13 +187,18 @@ def link_partitions(link, batch, keys, order, by):
     """Incremental link load by partition: the rows of the partitions ``by`` that the batch falls into.
 
     ``by`` is a column that the keys determine, so that a key has one partition for good. The partitions of a batch
-    are listed on the driver and read by their names, the others are neither read nor returned.
+    are read by their names while there are at most ``NAMED_PARTITIONS``, and found by a join beyond that, so the driver
+    never holds more names; the others are not returned.
     """
     if link is None:
         return link_latest(batch, keys, order)
-    here = [r[0] for r in batch.select(by).distinct().collect()]
-    named = F.col(by).isin([v for v in here if v is not None])
-    touched = link.filter(named | F.col(by).isNull() if None in here else named)
+    parts = batch.select(F.col(by).alias("_here")).distinct()
+    here = [r[0] for r in parts.limit(NAMED_PARTITIONS + 1).collect()]
+    if len(here) > NAMED_PARTITIONS:
+        touched = link.join(parts, link[by].eqNullSafe(parts["_here"]), "left_semi")
+    else:
+        named = F.col(by).isin([v for v in here if v is not None])
+        touched = link.filter(named | F.col(by).isNull() if None in here else named)
     return link_merge(touched, batch, keys, order)
 
 

@@ -207,3 +207,19 @@ def test_scd2_plan_has_one_exchange(spark):
     text = vault.scd2_merge(None, df, "k", ["a"])._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
     assert "SinglePartition" not in text and "Python" not in text
+
+
+def test_many_link_partitions_are_joined_not_listed(spark):
+    """More partitions than a filter should name: the plan holds none of them, and NULL is a partition too."""
+    n = 3 * vault.NAMED_PARTITIONS
+    part = F.when(F.col("k") % n > 0, F.col("k") % n).alias("part")
+    link = spark.range(2 * n).select(F.col("id").alias("k"), F.lit(1).alias("t")).select("*", part)
+    batch = link.filter("k < 1500").withColumn("t", F.lit(2)).select(*link.columns)
+    got = vault.link_partitions(link, batch, ["k"], ["t"], "part")
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 5000
+    assert rows(got, "k", "t") == rows(link.filter(f"k % {n} < 1500").selectExpr("k", "IF(k < 1500, 2, 1) AS t"))
+    few = batch.filter("k < 3")
+    assert rows(vault.link_partitions(link, few, ["k"], ["t"], "part"), "k", "t") == rows(
+        link.filter(f"k % {n} < 3").selectExpr("k", "IF(k < 3, 2, 1) AS t")
+    )
