@@ -1,10 +1,13 @@
 """Win-probability models on Spark ML: preprocessing, three classifiers, scoring, predictions."""
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from matchvault.functions import decide
@@ -15,6 +18,7 @@ INVERSE_L1 = 0.1
 DEPTH = 6
 PRODUCTION_THRESHOLD = 0.48
 TOP_FEATURES = 80
+ROWS_PER_TASK = 250_000
 
 
 def preprocessing(numeric, categorical):
@@ -66,23 +70,54 @@ def boosted_trees(label="label", rounds=20, step=0.1):
     return GBTClassifier(labelCol=label, maxDepth=DEPTH, maxIter=rounds, stepSize=step, seed=SEED)
 
 
-def fit(train, numeric, categorical, classifier):
-    """Fitted pipeline; ``classifier`` may be a function of the number of training rows, or fit the rows itself.
+@contextmanager
+def kept_evenly(train):
+    """Yield the rows in parts of about ``ROWS_PER_TASK``.
 
-    Each stage is a pass over the training rows, so they are kept once (spilling to disk) and a lost
-    part is computed again.
+    Each stage is a pass over the training rows, so they are kept once (spilling to disk) and a lost part is computed
+    again. The parts are made even first: every pass repeats what a table or a window left uneven.
     """
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = train.count()
+    parts = max(-(-rows // ROWS_PER_TASK), train.sparkSession.sparkContext.defaultParallelism)
+    kept = train.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if hasattr(classifier, "fit_rows"):
-            return classifier.fit_rows(kept, numeric, categorical)
-        if callable(classifier):
-            classifier = classifier(kept.count())
-        return Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(kept)
+        yield kept
     finally:
         kept.unpersist()
 
 
+def _read_by(classifier, train, names):
+    """``train`` with the named columns and those that the classifier's settings name."""
+    if not hasattr(classifier, "getLabelCol"):  # a pipeline or a search names its columns in its parts
+        return train
+    set_ = [classifier.getOrDefault(p) for p in classifier.params if classifier.isDefined(p)]
+    wanted = {*names, *(v for v in set_ if isinstance(v, str))}
+    return train.select(*[F.col(f"`{c}`") for c in train.columns if c in wanted])
+
+
+def without_summary(model):
+    """A fitted pipeline whose stages let go of their training summaries, as after saving and loading.
+
+    A summary holds the session, and tasks that score are sent it with the model: they fail once the session has
+    observed a write, as table stores do.
+    """
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
+def fit(train, numeric, categorical, classifier):
+    """Fitted pipeline; ``classifier`` may be a function of the number of training rows, or fit the rows itself."""
+    if hasattr(classifier, "fit_rows"):
+        with kept_evenly(train) as kept:
+            return classifier.fit_rows(kept, numeric, categorical)
+    if callable(classifier):
+        classifier = classifier(train.count())
+    with kept_evenly(_read_by(classifier, train, [*numeric, *categorical])) as kept:
+        return without_summary(Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(kept))
+
+
 def score(model, df, threshold=PRODUCTION_THRESHOLD):
     """Each row with its win probability (or margin) and the decision; keys stay on the row."""
     out = model.transform(df)

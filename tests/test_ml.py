@@ -88,3 +88,50 @@ def test_merge_predictions(spark):
     got = ml.merge_predictions(old, new, "game_date", "2024-01-02")
     assert rows(got, "id", "p") == [(1, 0.1), (2, 0.9), (3, 0.8)]
     assert got.filter(F.col("p").isNull()).count() == 0
+
+
+def test_fitted_rows_are_in_even_parts(spark, training, monkeypatch):
+    """A part holds no more rows than planned, however uneven the table, and only columns that the model reads."""
+    seen = []
+
+    class Sizes:
+        def fit_rows(self, train, numeric, categorical):
+            seen.extend(r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect())
+
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 50)
+    ml.fit(training.coalesce(1), ["x"], [], Sizes())
+    assert sum(seen) == 600 and max(seen) <= 55
+    read = ml._read_by(ml.svm(), training, ["x"])
+    assert read.columns == ["x", "label"]
+
+
+def test_models_score_after_an_observed_write(spark, training):
+    """A session that has observed a write cannot be sent to tasks, and a training summary holds it."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    training.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 600
+    for classifier in (ml.logistic(600), ml.svm()):
+        assert ml.score(ml.fit(training, ["x"], ["team"], classifier), training).filter("score IS NULL").count() == 0
+    model = kernel.fit_kernel_svm(training, ["x"], ["team"], dimensions=8)
+    assert ml.score(model, training).filter("score BETWEEN 0 AND 1").count() == 600
+
+
+def test_fourier_features_by_batch(spark):
+    """Features equal the formula row for row, in batches of any size, with NULL kept; they are not interpreted."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    step = kernel.FourierFeatures(inputCol="x", outputCol="z", gamma=0.5, width=3, dimensions=5)
+    data = [(i, None if i == 7 else Vectors.sparse(3, {0: i / 9.0, 2: float(i % 2)})) for i in range(1300)]
+    df = spark.createDataFrame(data, StructType([StructField("id", IntegerType()), StructField("x", VectorUDT())])).repartition(3)
+    plan = step.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    rnd = np.random.default_rng(ml.SEED)
+    w, b = rnd.normal(0, 1.0, (5, 3)), rnd.uniform(0, 2 * np.pi, 5)
+    for r in step.transform(df.filter("x IS NOT NULL")).collect():
+        assert np.allclose(r.z.toArray(), np.sqrt(2 / 5) * np.cos(w @ r.x.toArray() + b))
+    assert step.transform(df.filter("x IS NULL")).select(vector_to_array("x")).count() == 1
