@@ -19,7 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
 from matchvault.operators.ml import DEPTH
-from matchvault.operators.scan import _written, ordered_scan, sum_before
+from matchvault.operators.scan import CHUNK, _written, ordered_scan, sum_before
 
 ROUNDS_PER_CHECKPOINT = 5
 # Gains that differ by less are equal: sums of doubles depend on the order in which tasks end.
@@ -47,14 +47,20 @@ def ordered_statistics(df, categorical, order, label="label", prior=PRIOR, weigh
 
     A row's own label takes no part in its statistic, so nothing leaks. ``prior`` counts like ``weight`` rows more. NULL
     is a value of its own; a NULL label counts as no row. ``order`` should be total; rows that tie on it come in any order.
+
+    The rows are counted and cut into ranges of the order once for all categories, and move between tasks once.
     """
-    for c in categorical:
-        scan = ordered_scan(df, [c], order)
-        known = F.col(label).isNotNull().cast("long")
-        wins, rows = f"{c}{suffix}_wins", f"{c}{suffix}_rows"
-        df = scan.with_values(**{wins: sum_before(label), rows: sum_before(known)}).rows()
-        df = df.withColumn(f"{c}{suffix}", _share(F.col(wins), F.col(rows), prior, weight)).drop(wins, rows)
-    return df
+    scan = ordered_scan(df, [], order)
+    if scan.split:
+        # A chunk holds all categories' rows of its range, so the windows below need no exchange of their own.
+        scan = scan.map(lambda rows: rows.repartition(CHUNK))
+    known = F.col(label).isNotNull().cast("long")
+    names = {c: (f"{c}{suffix}_wins", f"{c}{suffix}_rows") for c in categorical}
+    for c, (wins, rows) in names.items():
+        scan = scan.with_values(by=[c], **{wins: sum_before(label), rows: sum_before(known)})
+        share = _share(F.col(wins), F.col(rows), prior, weight)
+        scan = scan.map(lambda d: d.withColumn(f"{c}{suffix}", share).drop(wins, rows))  # noqa: B023
+    return scan.rows()
 
 
 def _bin(value, borders):

@@ -152,34 +152,43 @@ class OrderedScan:
     def rows(self) -> DataFrame:
         return self.df.drop(CHUNK, TIE)
 
-    def with_values(self, **values: Value) -> "OrderedScan":
-        """Add one column per value."""
-        w = _windows(self.part, self.order)
+    def with_values(self, by=(), **values: Value) -> "OrderedScan":
+        """Add one column per value, each within the keys and the columns ``by``.
+
+        So one cut of the rows serves scans by different columns: within a chunk each of them is a sort and no exchange.
+        """
+        part = [*self.keys, *by, CHUNK] if self.split else [*self.keys, *by]
+        w = _windows(part, self.order)
         local = self.df.withColumns({name: v.local(w) for name, v in values.items()})
         if not self.split:
             return replace(
                 self, df=local.withColumns({n: v.finish(F.col(n)) for n, v in values.items()})
             )
-        carried = self._carried(values)
-        on = [local[k].eqNullSafe(carried[f"_c_{k}"]) for k in self.part]
-        # One row per chunk, with keys as in the cut points; the values must have a known width too.
-        fixed = all(_fixed_width(carried.schema[f"_carry_{n}"].dataType) for n in values)
-        joined = local.join(F.broadcast(carried) if self.small and fixed else carried, on, "left")
+        carried = self._carried(values, by)
+        if by:
+            carried = _written(carried)
+            small = _fits_broadcast(*carried.agg(F.count(F.lit(1)), _text_size()).first())
+        else:
+            # One row per chunk, with keys as in the cut points; the values must have a known width too.
+            small = self.small and all(_fixed_width(carried.schema[f"_carry_{n}"].dataType) for n in values)
+        on = [local[k].eqNullSafe(carried[f"_c_{k}"]) for k in part]
+        joined = local.join(F.broadcast(carried) if small else carried, on, "left")
         done = {
             n: v.finish(v.combine(F.col(n), F.col(f"_carry_{n}"))) for n, v in values.items()
         }
         return replace(self, df=joined.withColumns(done).select(*local.columns))
 
-    def _carried(self, values):
+    def _carried(self, values, by=()):
         order = F.struct(*self.order)
+        part = [*self.keys, *by, CHUNK]
         summaries = (
             self.df.filter(F.col(CHUNK).isNotNull())
-            .groupBy(*self.part)
+            .groupBy(*part)
             .agg(*[v.summary(order).alias(n) for n, v in values.items()])
         )
-        w = _windows(self.keys, [CHUNK])
+        w = _windows([*self.keys, *by], [CHUNK])
         return summaries.select(
-            *[F.col(k).alias(f"_c_{k}") for k in self.part],
+            *[F.col(k).alias(f"_c_{k}") for k in part],
             *[v.carry(F.col(n), w).alias(f"_carry_{n}") for n, v in values.items()],
         )
 
@@ -209,10 +218,8 @@ def ordered_scan(df: DataFrame, keys, order, rows_per_chunk=None) -> OrderedScan
         df = _written(df.withColumn(TIE, F.monotonically_increasing_id()))
         order = (*order, TIE)
         cuts = _cut_points(df, keys, order, hot)
-    longest, total, size = cuts.agg(
-        F.max(F.size(_CUTS)), F.sum(F.size(_CUTS) + 1), F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    ).first()
-    small = (total or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+    longest, total, size = cuts.agg(F.max(F.size(_CUTS)), F.sum(F.size(_CUTS) + 1), _text_size()).first()
+    small = _fits_broadcast(total, size)
     on = [df[k].eqNullSafe(cuts[f"_k_{k}"]) for k in keys]
     tagged = df.join(F.broadcast(cuts) if small else cuts, on, "left")
     tagged = tagged.withColumn(CHUNK, _position(F.col(_CUTS), F.struct(*order), longest or 0))
@@ -240,6 +247,14 @@ def _ranged(df, order, limit, rows):
     return OrderedScan(tagged, (), order, split=True, small=n <= BROADCAST_ROWS)
 
 
+def _text_size():
+    return F.sum(F.octet_length(F.to_json(F.struct("*"))))
+
+
+def _fits_broadcast(rows, size):
+    return (rows or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
 def _fixed_width(kind):
     if isinstance(kind, T.StructType):
         return all(_fixed_width(f.dataType) for f in kind.fields)

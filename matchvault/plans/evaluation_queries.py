@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchvault.operators import boost, evaluate, features, kernel, ml
 from matchvault.plans import fixtures as fx
 from matchvault.plans.registry import iso_dates, query
+from matchvault.sources.tables import scratch_store
 
 WITH = "WITH" + fx.SCORED_SQL
 
@@ -173,10 +174,16 @@ def model_rows(spark, sf_dir):
     )
 
 
+def split_rows(spark, rows):
+    """Training and hold-out part of ``rows``, read from one table: the joins and running sums below them run once."""
+    store = scratch_store(spark)
+    store.overwrite(rows, "model_rows")
+    return features.split_by_date(store.read("model_rows"), "game_date", CUTOFF)
+
+
 def trained(spark, sf_dir, classifier):
     """``(model, test rows)``."""
-    rows = model_rows(spark, sf_dir)
-    train, test = features.split_by_date(rows, "game_date", CUTOFF)
+    train, test = split_rows(spark, model_rows(spark, sf_dir))
     return ml.fit(train, NUMERIC, CATEGORICAL, classifier), test
 
 
@@ -222,7 +229,7 @@ def train_svm(spark, sf_dir):
 @query("train_kernel_svm", SCORES_SQL)
 def train_kernel_svm(spark, sf_dir):
     """The support vector machine with a Gaussian kernel and probabilities."""
-    train, test = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    train, test = split_rows(spark, model_rows(spark, sf_dir))
     model = kernel.fit_kernel_svm(train, NUMERIC, CATEGORICAL)
     return _checked_scores(ml.score(model, test, 0.52), 0.52)
 
@@ -251,8 +258,7 @@ def feature_importance(spark, sf_dir):
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     """Hold-out metrics of each model at its threshold next to the random baseline, best first."""
-    rows = model_rows(spark, sf_dir)
-    train, test = features.split_by_date(rows, "game_date", CUTOFF)
+    train, test = split_rows(spark, model_rows(spark, sf_dir))
     called = {"Baseline - Random": (evaluate.random_guess(test, "game_source_id"), None)}
     for name, classifier, threshold in (
         ("Logistic Regression", ml.logistic, 0.5),
@@ -312,7 +318,8 @@ def _statistic_sql(c):
 )
 def ordered_category_statistics(spark, sf_dir):
     """Each training match with the home wins among the earlier ones of its season and of either team."""
-    train, _ = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    narrow = model_rows(spark, sf_dir).select(*STATISTIC_ORDER, *CATEGORICAL, "label")
+    train, _ = split_rows(spark, narrow)
     out = boost.ordered_statistics(train, CATEGORICAL, STATISTIC_ORDER)
     return out.select("game_source_id", *[f"{c}_before" for c in CATEGORICAL])
 
@@ -387,7 +394,7 @@ FROM r{SMALL_ROUNDS} WHERE NOT trains"""
 @query("newton_trees_small", _small_trees_sql())
 def newton_trees_small(spark, sf_dir):
     """Hold-out scores of three trees of two levels."""
-    train, test = features.split_by_date(model_rows(spark, sf_dir), "game_date", CUTOFF)
+    train, test = split_rows(spark, model_rows(spark, sf_dir))
     settings = boost.NewtonBoosting(
         tuple(STATISTIC_ORDER), rounds=SMALL_ROUNDS, depth=SMALL_DEPTH, step=SMALL_STEP, borders=SMALL_NUMERIC
     )

@@ -141,3 +141,18 @@ def test_nothing_to_learn(spark):
     assert len(scores) == 1 and scores.pop() > 0.5
     with pytest.raises(ValueError):
         boost.NewtonBoosting(("day",), l2=0.0)
+
+
+def test_statistics_of_many_categories_move_rows_once(spark, small_chunks):
+    """Split rows are cut once for all categories; each later one is a sort, not an exchange."""
+    data = [(i, i // 5, "AB"[i % 2], "XYZ"[i % 3], None if i % 7 else "u", float(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(data, "id int, day int, a string, b string, c string, label double")
+    out = boost.ordered_statistics(df, ["a", "b", "c"], ["day", "id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_chunk") == 1 and "SortMergeJoin" not in plan
+    wins, n = {}, {}
+    for r in sorted(out.collect(), key=lambda r: r["id"]):
+        for c in "abc":
+            k = (c, r[c])
+            assert abs(r[f"{c}_before"] - (wins.get(k, 0) + 0.5) / (n.get(k, 0) + 1)) < 1e-12
+            wins[k], n[k] = wins.get(k, 0) + r["label"], n.get(k, 0) + 1
