@@ -39,6 +39,10 @@ HOT = 14  # frequency class, the log of a token's count, from which on its posti
 BROADCAST = 1_000_000
 BLOCK = 1 << 19  # bytes of text worked on at once
 HELD = 1 << 19  # distinct tokens that a task counts at once
+SLICES = 12  # bits of a value that say where it meets its like; 32 more are compared there
+DEALT = 1 << 21  # values that a task holds before it deals them out
+SPARSE = 64  # bits of a map for each value in it
+MOST_BITS = 29  # the logarithm of a map's bits at most
 
 
 def _nodes(first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -152,16 +156,110 @@ def _first_keys(keys, bounds, take):
     return np.concatenate(parts)
 
 
-def _ordered(width, percent, shared, whole):
-    """One row per node met in the task's share: its prefix under order 0, or its whole set, in that order."""
+def _short(values):
+    """The 44 bits by which values are told apart when it is asked which ones come again."""
+    return kernels.mix(values, 73) >> np.uint64(32 - SLICES)
+
+
+def repeated_map(frame: DataFrame, values):
+    """``holds(values)``: which of an array's values may be among those that ``values(batches)`` yields twice or more over
+    all rows of ``frame``. It never denies one that is.
+
+    Tasks deal out four bytes of a value, many in one row, whatever the number of partitions, and nothing of the row that
+    has it. The bit map grows with the repeated values to at most 2^``MOST_BITS`` bits; beyond, more is held than need be.
+    """
+
+    def dealt(held):
+        x = np.sort(np.concatenate(held))
+        keep = np.ones(len(x), dtype=bool)
+        keep[2:] = x[2:] != x[:-2]
+        x = x[keep]
+        where = (x >> np.uint64(32)).astype(np.int32)
+        first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+        bounds = np.append(first, len(x)).astype(np.int32) * 4
+        low = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(x.astype(np.uint32))])
+        return pa.RecordBatch.from_arrays([pa.array(where[first]), low], names=["slice", "low"])
+
+    def run(batches):
+        held, n = [], 0
+        for part in values(batches):
+            held.append(_short(part))
+            n += len(part)
+            if n >= DEALT:
+                yield dealt(held)
+                held, n = [], 0
+        if n:
+            yield dealt(held)
+
+    def again(table):
+        x = np.sort(np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint32))
+        x = np.unique(x[1:][x[1:] == x[:-1]])
+        return pa.table({"slice": table.column("slice")[:1], "low": pa.array([x.tobytes()], pa.binary())})
+
+    both = "slice int, low binary"
+    found = written(frame.mapInArrow(run, both).groupBy("slice").applyInArrow(again, both))
+    n = (found.agg(F.sum(F.octet_length("low"))).first()[0] or 0) // 4
+    rest = min(MOST_BITS, max(SLICES + 3, (SPARSE * n).bit_length())) - SLICES
+
+    def marked(batches):
+        for batch in batches:
+            marks = []
+            for low in batch.column("low").to_pylist():
+                bits = np.zeros(1 << rest, dtype=np.uint8)
+                bits[np.frombuffer(low, np.uint32) >> np.uint32(32 - rest)] = 1
+                marks.append(np.packbits(bits, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(marks, pa.binary())], names=["slice", "low"])
+
+    marks = found.mapInArrow(marked, both).toArrow()
+    bitmap = np.zeros((1 << SLICES, 1 << (rest - 3)), dtype=np.uint8)
+    for part, low in zip(marks["slice"].to_pylist(), marks["low"], strict=True):
+        bitmap[part] = np.frombuffer(low.as_buffer(), np.uint8)
+    bitmap = frame.sparkSession.sparkContext.broadcast(bitmap.ravel())
+
+    def holds(x):
+        at = kernels.signed(_short(x) >> np.uint64(32 - rest))
+        return (bitmap.value[at >> 3] >> (at & 7)) & 1 == 1
+
+    return holds
+
+
+def _prefixes(batches, width, percent, shared):
+    """``(node, keys, take)`` for blocks of nodes: the keys of their prefixes under order 0, ``take[i]`` of each."""
+    tokens, classes, wanted = shared.value
+    for node, n, hashes, bounds in _met(batches, width, wanted):
+        take = _prefix_length(n, percent)
+        yield node, _first_keys(_ordered_keys(hashes, 0, tokens, classes), bounds, take), take
+
+
+def postings(texts, shared, width, percent):
+    """``(node, tokens, places)``: the tokens of each node's prefix under order 0 that another node may have in its own,
+    and their places in the prefix; nodes without any are left out."""
+    holds = repeated_map(texts, lambda batches: (keys for _, keys, _ in _prefixes(batches, width, percent, shared)))
+    schema = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
+
+    def run(batches):
+        for node, keys, take in _prefixes(batches, width, percent, shared):
+            ends = np.cumsum(take)
+            keep = holds(keys)
+            bounds = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], ends])]
+            places = (np.arange(len(keys)) - np.repeat(ends - take, take)).astype(np.int32)
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(node), kernels.lists(kernels.signed(keys[keep]), bounds), kernels.lists(places[keep], bounds)], schema=schema
+            )
+            yield rows.filter(pa.array(np.diff(bounds) > 0))
+
+    return texts.mapInArrow(run, "node long, tokens array<long>, places array<int>").dropDuplicates(["node"])
+
+
+def _ordered(width, shared):
+    """One row per node met in the task's share: its whole set under order 0."""
     schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
         tokens, classes, wanted = shared.value
         for node, n, hashes, bounds in _met(batches, width, wanted):
-            take = n if whole else _prefix_length(n, percent)
-            keys = _first_keys(_ordered_keys(hashes, 0, tokens, classes), bounds, take)
-            lists = kernels.lists(kernels.signed(keys), np.concatenate([[0], np.cumsum(take)]))
+            keys = _first_keys(_ordered_keys(hashes, 0, tokens, classes), bounds, n)
+            lists = kernels.lists(kernels.signed(keys), bounds)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n.astype(np.int32)), lists], schema=schema)
 
     return run, "node long, n int, tokens array<long>"
@@ -299,18 +397,38 @@ def _sharing(pairs, lists, percent):
 def _verified(texts, nodes, pairs, shared_of, width, percent):
     """The ``pairs(a, b)`` that pass all filters and whose sets reach the similarity, as ``(u, v)``."""
     pairs = intersected(texts, nodes, pairs, shared_of, width, percent)
-    both = _rows_of_ends(texts, nodes, pairs, shared_of, lambda shared: _ordered(width, percent, shared, True))
+    both = _rows_of_ends(texts, nodes, pairs, shared_of, lambda shared: _ordered(width, shared))
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     fits = 100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared)
     return both.where(fits).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
+def _of_order(batch, k):
+    """A batch's smallest hashes under permutation k, unlike those under the others."""
+    return kernels.mix(np.asarray(batch.column(f"k{k}")).view(np.uint64), 80 + k)
+
+
 def head_pairs(nodes, percent):
     """``(a, b)``: nodes and the head of each of their groups of equal smallest hashes.
 
     The head is the node whose keys are the most common: in a family of copies, the text with fewest edits.
     """
-    keyed = nodes.select("node", "n", F.posexplode(F.array(*(f"k{i}" for i in range(KEYS)))).alias("k", "key"))
+    def values(batches):
+        for batch in batches:
+            for k in range(KEYS):
+                yield _of_order(batch, k)
+
+    names = [f"k{k}" for k in range(KEYS)]
+    holds = repeated_map(nodes.select(*names), values)
+
+    def run(batches):
+        for batch in batches:
+            for k in range(KEYS):
+                node, n, key = batch.select(["node", "n", f"k{k}"]).filter(pa.array(holds(_of_order(batch, k)))).columns
+                order = pa.array(np.full(len(node), k, np.int32))
+                yield pa.RecordBatch.from_arrays([node, n, order, key], names=["node", "n", "k", "key"])
+
+    keyed = nodes.select("node", "n", *names).mapInArrow(run, "node long, n int, k int, key long")
     sizes = keyed.groupBy("k", "key").agg(F.log2(F.count("*")).alias("size")).where("size > 0")
     keyed = written(keyed.join(sizes, ["k", "key"]))
     ranks = keyed.groupBy("node").agg(F.sum("size").alias("rank"))
@@ -365,29 +483,25 @@ def jaccard_groups(docs: DataFrame, id_col="doc_id", text_col="text", percent=75
     links = written(_verified(texts, nodes, written(head_pairs(nodes, percent)), shared_of, width, percent))
     roots = components(links)
 
-    run, schema = _ordered(width, percent, shared_of(), False)
-    postings = texts.mapInArrow(run, schema).select("node", F.posexplode("tokens").alias("at", "token"))
-
-    def several(frame, of):
-        """The postings of tokens that more than one ``of`` has, with a signature of all nodes of the token."""
-        same = Window.partitionBy("token")
-        frame = frame.withColumns({
-            "least": F.min(of).over(same), "most": F.max(of).over(same),
-            "nodes": F.bit_xor(F.xxhash64("node")).over(same), "many": F.count("*").over(same),
-        })
-        return frame.where("least < most").drop("least", "most")
-
-    def rooted(frame):
-        return frame.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    listed = postings(texts, shared_of(node_map(nodes)), width, percent).join(roots, "node", "left")
+    listed = written(listed.select("node", F.coalesce("root", "node").alias("root"), "tokens", "places"))
+    split = listed.select("*", F.posexplode("tokens").alias("i", "token")).select(
+        "node", "root", "token", F.expr("places[i]").alias("at")
+    )
 
     # A hot token may stand in a third of all prefixes, mostly of one family: its roots are reduced on the map side.
     hot = F.shiftrightunsigned("token", 58) >= HOT
-    split = several(rooted(several(postings.where(~hot), "node").drop("nodes", "many").distinct()), "root")
-    many = written(rooted(postings.where(hot).distinct()))
+    many = split.where(hot)
+    same = Window.partitionBy("token")
     apart = many.groupBy("token").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.bit_xor(F.xxhash64("node")).alias("nodes"),
         F.count("*").alias("many"),
     ).where("least < most").select("token", "nodes", "many")
+    # Tokens that more than one component has, with a signature of all nodes of the token.
+    split = split.where(~hot).withColumns({
+        "least": F.min("root").over(same), "most": F.max("root").over(same),
+        "nodes": F.bit_xor(F.xxhash64("node")).over(same), "many": F.count("*").over(same),
+    }).where("least < most").drop("least", "most")
     split = split.unionByName(many.join(apart, "token"))
     # Tokens with the same nodes make the same pairs, and one of them stands for all: the first in all of these nodes, which
     # is the first that a pair shares, if any of them is.

@@ -61,6 +61,40 @@ def test_common_counts_repeated_values(size):
     assert jaccard._common(a.tobytes(), b.tobytes()) == expected
 
 
+@pytest.mark.parametrize("dealt", [jaccard.DEALT, 50])
+def test_repeated_values_are_held(spark, dealt, monkeypatch):
+    """Whether they come in one task or two, twice or often; few others are held."""
+    monkeypatch.setattr(jaccard, "DEALT", dealt)
+
+    def column(batches):
+        for batch in batches:
+            yield np.asarray(batch.column(0)).view(np.uint64)
+
+    values = [*range(3000), *range(0, 3000, 100), *[7] * 500]
+    holds = jaccard.repeated_map(spark.createDataFrame([(v,) for v in values], "v long").repartition(5), column)
+    held = set(np.flatnonzero(holds(np.arange(3000, dtype=np.uint64))).tolist())
+    assert {*range(0, 3000, 100), 7} <= held and len(held) < 150
+    assert not jaccard.repeated_map(spark.range(40), column)(np.arange(40, dtype=np.uint64)).any()
+
+
+def test_postings_leave_out_what_one_node_alone_has(spark):
+    """The rows that are shuffled by token follow what is shared, not the number of documents."""
+    words = [f"{i}-{j}" for i in range(300) for j in range(60)]
+    texts = [" ".join(words[60 * i : 60 * i + 60]) for i in range(300)]
+    texts += [texts[0].replace("0-30 ", "changed "), texts[1]]
+    texts = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "row_id long, text string, version long").repartition(4)
+    run, schema = jaccard._profile(5)
+    nodes = texts.mapInArrow(run, schema).where("n > 0").groupBy("node").agg(F.min("row_id").alias("low"))
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    got = jaccard.postings(texts, spark.sparkContext.broadcast((*none, jaccard.node_map(nodes))), 5, 75)
+    rows = {r.node: r for r in got.collect()}
+    doc = {r.node: r.low for r in nodes.collect()}
+    pair = [r for n, r in rows.items() if doc[n] in (0, 300)]
+    assert len(pair) == 2 and set(pair[0].tokens) & set(pair[1].tokens)
+    assert all(len(r.tokens) == len(r.places) and max(r.places) < 15 for r in rows.values())
+    assert sum(len(r.tokens) for r in rows.values()) < 301 * 15 / 10
+
+
 def test_jaccard_groups_with_repeated_rows_and_ids(repeated):
     got = jaccard.jaccard_groups(repeated)
     assert got.count() == repeated.count()
