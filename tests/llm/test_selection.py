@@ -104,6 +104,16 @@ def test_pieces_spell_every_text_and_are_reproducible(repeated, empty):
     assert pieces.decode(pieces.encode(empty)).count() == 0
 
 
+def test_encoding_and_decoding_take_one_python_worker(spark, repeated):
+    spelled = pieces.decode(pieces.encode(repeated))
+    assert spelled._jdf.queryExecution().toString().count("MapInArrow") == pieces.encode(repeated)._jdf.queryExecution().toString().count("MapInArrow")
+    model = pieces.Pieces(pieces.MODEL, 1.0)
+    word = [i for i, x in enumerate(model.text) if x == b" the"][0]
+    rows = [(1, None), (2, []), (3, [word, *model.byte[list("é".encode())].tolist(), word])]
+    got = pieces.decode(spark.createDataFrame(rows, "doc_id long, pieces array<int>")).collect()
+    assert sorted(map(tuple, got)) == [(1, [], ""), (2, [], ""), (3, rows[2][1], "theé the")]
+
+
 def test_segmentations_are_drawn_in_proportion():
     model = pieces.Pieces(pieces.MODEL, 1.0)
     text, n = b"there", 20_000
