@@ -13,24 +13,31 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 
-BUCKET = 16
+BUCKET = 8
 
 
 def _common(values: np.ndarray):
     """``(codes, table, where, others)``: rows as bytes into a table, 255 for the rows listed apart."""
     if not len(values):
         return np.zeros(0, np.uint8), values, np.zeros(0, np.uint32), values
-    order = np.lexsort(values.T[::-1])
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (values[order][1:] != values[order][:-1]).any(axis=1)
-    kind = np.empty(len(order), dtype=np.int64)
-    kind[order] = np.cumsum(new) - 1
-    often = np.argsort(-np.bincount(kind), kind="stable")[:255]
-    code = np.full(int(new.sum()), 255, dtype=np.uint8)
-    code[often] = np.arange(len(often), dtype=np.uint8)
-    codes = code[kind]
-    where = np.flatnonzero(codes == 255).astype(np.uint32)
-    return codes, values[order][new][often], where, values[where]
+    # A row of small values is one number; rows with a larger value are rare and listed apart.
+    part, small = 64 // values.shape[1], np.ones(len(values), dtype=bool)
+    whole = values[:, 0].astype(np.uint64)
+    for i in range(values.shape[1] if part < 64 else 0):
+        small &= values[:, i] < 1 << part
+        if i:
+            whole |= values[:, i].astype(np.uint64) << np.uint64(part * i)
+    ordered = np.sort(whole[small])
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    often = np.sort(ordered[at[np.argsort(-np.diff(at, append=len(ordered)), kind="stable")[:255]]])
+    code = np.searchsorted(often, whole)
+    hit = small & (code < len(often))
+    hit[hit] = often[code[hit]] == whole[hit]
+    codes = np.where(hit, code, 255).astype(np.uint8)
+    shifts = np.arange(values.shape[1], dtype=np.uint64) * np.uint64(part)
+    table = often[:, None] >> shifts & np.uint64((1 << part) - 1)
+    where = np.flatnonzero(~hit).astype(np.uint32)
+    return codes, table.astype(np.int64), where, values[where]
 
 
 def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
@@ -38,6 +45,7 @@ def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
     bits = max(0, (len(keys) // BUCKET).bit_length() - 1)
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     begins = np.searchsorted(bucket, np.arange((1 << bits) + 1)).astype(np.uint32)
+    del bucket
     stored = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
     codes, table, where, others = _common(values)
     head = np.array([len(keys), bits, values.shape[1], len(table), len(where)], dtype=np.int64)
@@ -70,15 +78,15 @@ class HashArray:
             return out
         bucket = (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
         wanted = ((keys << np.uint64(self.bits)) >> np.uint64(32)).astype(np.uint32)
-        low, high = self.begins[bucket].astype(np.int64), self.begins[bucket + 1].astype(np.int64)
-        end = high
-        last = len(self.stored) - 1
-        for _ in range(int((high - low).max()).bit_length()):
-            middle = (low + high) >> 1
-            less = (middle < high) & (self.stored[np.minimum(middle, last)] < wanted)
-            low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
-        found = np.flatnonzero((low < end) & (self.stored[np.minimum(low, last)] == wanted))
-        at = low[found]
+        at, end = self.begins[bucket].astype(np.int64), self.begins[bucket + 1].astype(np.int64)
+        # In steps of halving size past the smaller keys of the bucket.
+        for step in reversed(range(int((end - at).max()).bit_length())):
+            further = at + ((1 << step) - 1)
+            less = self.stored.take(further, mode="clip") < wanted
+            less &= further < end
+            at += less.astype(np.int64) << step
+        found = np.flatnonzero((at < end) & (self.stored.take(at, mode="clip") == wanted))
+        at = at[found]
         codes = self.codes[at]
         plain = codes < 255
         out[found[plain]] = self.table[codes[plain]]

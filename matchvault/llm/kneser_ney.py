@@ -54,20 +54,43 @@ def gram_keys(columns):
     key = np.zeros(len(columns[0]), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for c in columns:
-            context, key = key, kernels.mix(key * np.uint64(kernels.BASE) + c, 41)
+            context, key = key, key * np.uint64(kernels.BASE)
+            key += c
+            key = kernels.mix(key, 41)
     return context if len(columns) > 1 else key, key
 
 
-def _home(contexts, shards):
+def _spread(contexts):
+    """32 bits of each context, in whose ascending order shards follow each other."""
+    return kernels.mix(contexts, 43) >> np.uint64(32)
+
+
+def _home(spread, shards):
     """The shard of each n-gram: that of its context, or its own where there is none."""
-    key = kernels.mix(contexts, 43) >> np.uint64(32)
-    return ((key * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
+    return ((spread * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
+
+
+def _changes(values):
+    """Where a value differs from the one before it; the first place is one of them."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+
+
+def _tokens(data, offsets):
+    """``(token, first)``: the hashes of all words of a block and where each text's begin, a megabyte of text at a time."""
+    tokens, counts, low, n = [], [], 0, len(offsets) - 1
+    while low < n:
+        high = min(n, max(low + 1, int(np.searchsorted(offsets, offsets[low] + kernels.BLOCK, "right")) - 1))
+        some = data[offsets[low] : offsets[high]]
+        starts, ends, first = kernels.words(some, offsets[low : high + 1] - offsets[low])
+        tokens.append(kernels.span_hash(kernels.prefix_hash(kernels.LOWER[some]), starts, ends))
+        counts.append(np.diff(first))
+        low = high
+    return np.concatenate(tokens), np.cumsum(np.concatenate([[0], *counts]))
 
 
 def _stream(data, offsets, order):
     """``(words, at, first)``: word hashes with marks, the places of the tokens, and each text's first token."""
-    starts, ends, first = kernels.words(data, offsets)
-    token = kernels.span_hash(kernels.prefix_hash(kernels.LOWER[data]), starts, ends)
+    token, first = _tokens(data, offsets)
     count = np.diff(first)
     n = len(count)
     text = np.repeat(np.arange(n), count)
@@ -80,25 +103,33 @@ def _stream(data, offsets, order):
     return words, np.flatnonzero(places), first[:-1] + np.arange(n)
 
 
-def _summed(columns, counts):
-    """``(columns, counts, contexts, keys)`` of the distinct n-grams, in ascending order of keys, counts summed."""
+def _summed(columns, names, counts=None):
+    """``(columns, names, counts, contexts, keys)`` of the distinct n-grams, in ascending order of keys, counts summed.
+
+    Without ``counts`` each row counts as one. The lists are used up, so that a column given and the one made of it
+    are not held longer than need be.
+    """
     contexts, keys = gram_keys(columns)
     order = np.argsort(keys)
     keys = keys[order]
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
-    counts = np.add.reduceat(counts[order], at) if len(at) else counts
-    one = order[at]
-    return [c[one] for c in columns], counts, contexts[one], keys[at]
+    at = _changes(keys)
+    if counts is None:
+        counts = np.diff(at, append=len(keys))
+    elif len(at):
+        counts = np.add.reduceat(counts[order], at)
+    one, keys = order[at], keys[at]
+    del order, at
+    contexts = contexts[one]
+    return [columns.pop(0)[one] for _ in range(len(columns))], [names.pop(0)[one] for _ in range(len(names))], counts, contexts, keys
 
 
 def _names(column, short):
     """The rank of each word hash among the commonest words, ``SHORT`` for others. ``short``: sorted hashes, their ranks."""
+    if not len(short[0]):
+        return np.full(len(column), SHORT, dtype=np.uint32)
     words, back = np.unique(column, return_inverse=True)
-    names = np.full(len(words), SHORT, dtype=np.uint32)
-    if len(short[0]):
-        at = np.minimum(np.searchsorted(short[0], words), len(short[0]) - 1)
-        names = np.where(short[0][at] == words, short[1][at], names)
-    return names[back]
+    at = np.minimum(np.searchsorted(short[0], words), len(short[0]) - 1)
+    return np.where(short[0][at] == words, short[1][at], np.uint32(SHORT))[back]
 
 
 def _planes(values, n):
@@ -115,7 +146,7 @@ def _values(raw, at, rows, n, kind):
 def _pack(columns, names, counts):
     """Columns of word hashes with their names, and counts, as compressed bytes."""
     if len(columns) == 1:
-        order = np.lexsort([columns[0], names[0]])
+        order = np.argsort(names[0].astype(np.uint64) << np.uint64(44) | columns[0] >> np.uint64(20))
     else:
         order = np.argsort(functools.reduce(lambda key, name: key << np.uint64(20) | name, names[1:3], names[0].astype(np.uint64)))
     parts = []
@@ -134,13 +165,14 @@ def _pack(columns, names, counts):
 def _unpack(blobs, long_names):
     """Reverse of ``_pack`` for some of its results at once; ``long_names`` has the hash of each rank."""
     heads = [struct.unpack_from("<iiq", b) for b in blobs]
-    total = sum(h[1] for h in heads)
-    columns, counts, begin = [np.empty(total, np.uint64) for _ in range(heads[0][0])], np.empty(total, np.int64), 0
+    total, width = sum(h[1] for h in heads), heads[0][0]
+    columns, names = [np.empty(total, np.uint64) for _ in range(width)], [np.empty(total, np.uint32) for _ in range(width)]
+    counts, begin = np.empty(total, np.int64), 0
     for blob, (width, n, size) in zip(blobs, heads, strict=True):
         raw = pa.Codec("zstd").decompress(memoryview(blob)[16:], size, asbytes=True)
         at, here = 0, slice(begin, begin + n)
-        for column in columns:
-            name = _values(raw, at, n, 3, np.uint32)
+        for column, named in zip(columns, names, strict=True):
+            named[here] = name = _values(raw, at, n, 3, np.uint32)
             at += 3 * n
             apart = name == SHORT
             m = int(apart.sum())
@@ -154,13 +186,14 @@ def _unpack(blobs, long_names):
         some[some == 255] = np.frombuffer(raw, np.int64, int((some == 255).sum()), at + n)
         counts[here] = some
         begin += n
-    return columns, counts
+    return columns, names, counts
 
 
-def _parcels(level, columns, counts, contexts, shards, short):
+def _parcels(level, columns, names, counts, contexts, shards):
     """One row of packed n-grams for each shard that gets any."""
-    home, names = _home(contexts, shards), [_names(c, short) for c in columns]
-    order = np.argsort(home, kind="stable")
+    home = _home(_spread(contexts), shards)
+    # Numbers of two bytes are sorted in two passes.
+    order = np.argsort(home.astype(np.uint16) if shards <= 1 << 16 else home, kind="stable")
     bounds = np.flatnonzero(np.diff(home[order], prepend=-1, append=shards))
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
         one = order[low:high]
@@ -177,21 +210,25 @@ def _counted(order, shards, level, short):
     """The distinct n-grams of a task's texts, packed for the shards of ``level``."""
 
     def flushed(held):
-        columns = [np.concatenate(held.pop(0)) for _ in range(order)]
-        columns, counts, contexts, _ = _summed(columns, np.ones(len(columns[0]), np.int64))
-        return _batches(_parcels(level, columns, counts, contexts, shards, short.value))
+        columns = [np.concatenate(held.pop(0)) for _ in range(2 * order)]
+        names = columns[order:]
+        del columns[order:]
+        columns, names, counts, contexts, _ = _summed(columns, names)
+        return _batches(_parcels(level, columns, names, counts, contexts, shards))
 
     def run(batches):
-        held, n = [[] for _ in range(order)], 0
+        held, n = [[] for _ in range(2 * order)], 0
         for batch in batches:
             for _, data, offsets in kernels.blocks(batch, limit=BLOCK >> 1):
                 words, at, _ = _stream(data, offsets, order)
+                names = _names(words, short.value)
                 for i in range(order):
                     held[i].append(words[at - (order - 1) + i])
+                    held[order + i].append(names[at - (order - 1) + i])
                 n += len(at)
                 if n >= FLUSH:
                     yield from flushed(held)
-                    held, n = [[] for _ in range(order)], 0
+                    held, n = [[] for _ in range(2 * order)], 0
         if n:
             yield from flushed(held)
 
@@ -225,25 +262,34 @@ def _stored(folder, level, shards, short):
             if shard is None:
                 yield blobs["level"], blobs["shard"], blobs["packed"]
                 continue
-            columns, counts = _unpack(blobs, long_names)
+            columns, names, counts = _unpack(blobs, long_names)
             blobs.clear()
-            columns, counts, contexts, keys = _summed(columns, counts)
+            columns, names, counts, contexts, keys = _summed(columns, names, counts)
             arrays = [hasharray.packed(keys, counts[:, None])]
+            del keys
             if level > 1:
+                del columns[0], names[0]
                 order = np.argsort(contexts)
                 ordered = contexts[order]
-                at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                sums = [np.add.reduceat(x[order].astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts > 2)]
-                arrays.append(hasharray.packed(ordered[at], np.stack(sums, axis=1)))
+                at = _changes(ordered)
+                keys, sums = ordered[at], np.empty((len(at), 4), dtype=np.int64)
+                del contexts, ordered
+                sums[:, 0] = np.add.reduceat(counts[order], at)
+                for i, kind in enumerate((counts == 1, counts == 2, counts > 2), 1):
+                    sums[:, i] = np.add.reduceat(kind[order], at, dtype=np.int64)
+                del order, at
+                arrays.append(hasharray.packed(keys, sums))
+                del keys, sums
             hasharray.store(f"{folder}/{level}-{shard}", *arrays)
+            del arrays
             few = np.bincount(np.minimum(counts, 5), minlength=5)[1:5]
             yield -1 - level, shard, np.array([counts.sum(), len(counts), *few], dtype=np.int64).tobytes()
             often = counts >= OFTEN
             if level == 0 and often.any():
                 yield 0, shard, np.concatenate([columns[0][often], counts[often].astype(np.uint64)]).tobytes()
             elif level > 1:
-                columns, counts, contexts, _ = _summed(columns[1:], np.ones(len(counts), np.int64))
-                yield from _parcels(level - 1, columns, counts, contexts, shards, short.value)
+                columns, names, counts, contexts, _ = _summed(columns, names)
+                yield from _parcels(level - 1, columns, names, counts, contexts, shards)
 
     return lambda batches: _batches(rows(batches))
 
@@ -313,40 +359,74 @@ def train(docs: DataFrame, order=3, text_col="text", shard_bytes=SHARD_BYTES) ->
     return Model(folder, order, shards, tokens, words, totals, tuple(_discounts(s[2:]) for s in sums))
 
 
-def _by_home(model, level, columns, held):
-    """``(places, counts, contexts)`` for the n-grams of one shard of ``level`` after the other: what its arrays say."""
+def _arrays(model, level, shard, held):
+    """The arrays of a shard of ``level``, or None; ``held`` keeps some."""
+    at = level, shard
+    if at not in held:
+        if len(held) >= 256:
+            held.clear()
+        held[at] = hasharray.load(f"{model.folder}/{level}-{shard}", 1 if level < 2 else 2)
+    return held[at]
+
+
+def _distinct(model, columns):
+    """``(one, back, keys, contexts, bounds)`` of n-grams given as one column for each word.
+
+    ``one`` has a place of each distinct n-gram, shard after shard, equal contexts side by side, ``back`` for each place
+    its number in ``one``; shard i begins at ``bounds[i]``. (An n-gram may be listed twice where 64 bits of others collide.)
+    """
     contexts, keys = gram_keys(columns)
-    home = _home(contexts, model.shards)
-    order = np.argsort((home.astype(np.uint64) << np.uint64(44)) | (keys >> np.uint64(20)))
-    bounds = np.flatnonzero(np.diff(home[order], prepend=-1, append=model.shards))
-    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        one = order[low:high]
-        at = level, int(home[one[0]])
-        if at not in held:
-            if len(held) >= 256:
-                held.clear()
-            held[at] = hasharray.load(f"{model.folder}/{at[0]}-{at[1]}", 1 if level < 2 else 2)
-        if held[at]:
-            yield one, held[at][0].rows(keys[one])[:, 0], held[at][1].rows(contexts[one]) if level > 1 else None
+    spread = _spread(contexts)
+    order = np.argsort(spread << np.uint64(32) | keys >> np.uint64(32))
+    ordered = keys[order]
+    at = _changes(ordered)
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.repeat(np.arange(len(at)), np.diff(at, append=len(order)))
+    one = order[at]
+    bounds = np.searchsorted(_home(spread[one], model.shards), np.arange(model.shards + 1))
+    return one, back, ordered[at], contexts[one], bounds
+
 
+def _looked_up(model, level, lost, keys, contexts, bounds, held):
+    """``(counts, totals, left)``: what the arrays of ``level`` say of distinct n-grams, shard after shard; zeros of others.
 
-def _likelihoods(model, words, at, held):
-    """The probability of the word at each of the places ``at``, given the words before it."""
+    From level 2 on, ``totals`` are of the n-grams' contexts, and ``left`` what these lose by the discounts ``lost``.
+    """
+    counts, n = np.zeros(len(keys), dtype=np.int64), len(keys) if level > 1 else 0
+    totals, left = np.zeros(n, dtype=np.int64), np.zeros(n)
+    for shard in np.flatnonzero(np.diff(bounds)).tolist():
+        arrays, here = _arrays(model, level, shard, held), slice(bounds[shard], bounds[shard + 1])
+        if arrays:
+            counts[here] = arrays[0].rows(keys[here])[:, 0]
+            if level > 1:
+                own = contexts[here]
+                at = _changes(own)
+                rows, times = arrays[1].rows(own[at]), np.diff(at, append=len(own))
+                totals[here] = np.repeat(rows[:, 0], times)
+                left[here] = np.repeat(rows[:, 1:] @ lost[1:], times)
+    return counts, totals, left
+
+
+def _likelihoods(model, words, at, grams, held):
+    """The probability of the word at each of the places ``at``, given the words before it; ``grams``: the single words."""
     p = np.full(len(at), 1.0 / (model.words + 1))
     for level in range(1, model.order + 1):
-        columns = [words[at - (level - 1) + i] for i in range(level)]
+        if level > 1:
+            grams = _distinct(model, [words[at - (level - 1) + i] for i in range(level)])
+        one, back, *where = grams
+        # Equal n-grams have equal probabilities, so one place of each is reckoned.
+        lower = p[one]
+        del p, grams, one
         lost = np.array([0.0, *model.discounts[level - 1]])
+        counts, totals, left = _looked_up(model, level, lost, *where, held)
+        kept = np.maximum(counts - lost[np.minimum(counts, 3)], 0)
         if level == 1:
             total, *few = model.totals
-            p *= sum(lost[i + 1] * n for i, n in enumerate(few)) / total if total else 1
-        for one, counts, contexts in _by_home(model, level, columns, held):
-            kept = np.maximum(counts - lost[np.minimum(counts, 3)], 0)
-            if level == 1:
-                p[one] += kept / total
-                continue
-            total = contexts[:, 0]
-            higher = (kept + contexts[:, 1:] @ lost[1:] * p[one]) / np.maximum(total, 1)
-            p[one] = np.where(total > 0, higher, p[one])
+            if total:
+                lower = lower * (sum(lost[i + 1] * n for i, n in enumerate(few)) / total) + kept / total
+        else:
+            lower = np.where(totals > 0, (kept + left * lower) / np.maximum(totals, 1), lower)
+        p = lower[back]
     return p
 
 
@@ -358,13 +438,13 @@ def _scored(model):
         for batch in batches:
             for rows, data, offsets in kernels.blocks(batch, limit=BLOCK):
                 words, at, first = _stream(data, offsets, model.order)
-                counts = np.zeros(len(at), dtype=np.int64)
-                for one, found, _ in _by_home(model, 0, [words[at]], held):
-                    counts[one] = found
-                base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.words + 1)))
-                score = np.log10(_likelihoods(model, words, at, held))
+                grams = _distinct(model, [words[at]])
+                _, back, *where = grams
+                counts = _looked_up(model, 0, None, *where, held)[0]
+                base = np.log10((counts + 0.5) / (model.tokens + 0.5 * (model.words + 1)))[back]
+                score = np.log10(_likelihoods(model, words, at, grams, held))
                 arrays = [np.diff(first, append=len(at))]
-                arrays += [np.add.reduceat(x, first) for x in ((counts > 0).astype(np.int64), base, score)]
+                arrays += [np.add.reduceat(x, first) for x in ((counts > 0).astype(np.int64)[back], base, score)]
                 yield pa.RecordBatch.from_arrays([batch.column("row_id")[rows], *map(pa.array, arrays)], schema=schema)
 
     return run

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,24 @@ def test_hash_arrays(tmp_path):
         assert (both.rows(keys[order]) == values[order]).all()
         assert (half.rows(keys[::2])[:, 0] == values[::2, 0]).all() and not half.rows(keys[1::2]).any()
     assert hasharray.load(f"{tmp_path}/none", 1) is None
+
+
+def test_arrays_of_rows_with_large_counts():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    for width in (1, 2, 4):
+        values = rng.geometric(0.5, (len(keys), width)) << rng.choice([0, 0, 0, 15, 16, 31, 40], (len(keys), width))
+        array = hasharray.HashArray(hasharray.packed(keys, values))
+        assert (array.rows(keys) == values).all() and not array.rows(~keys).any()
+
+
+def test_each_distinct_gram_is_looked_up_once(spark, tmp_path, monkeypatch):
+    text = "a b c d e f g h"
+    model = kneser_ney.train(frame(spark, [(1, text), (2, "c d e x")]))
+    asked, rows = [], hasharray.HashArray.rows
+    monkeypatch.setattr(hasharray.HashArray, "rows", lambda self, keys: asked.append(len(keys)) or rows(self, keys))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1000)), pa.array([text] * 1000)], names=["row_id", "text"])
+    (out,) = kneser_ney._scored(model)([batch])
+    assert len(set(out["score"].to_pylist())) == 1
+    # Eight words and the end: counts in the corpus and of three orders, and contexts of two orders.
+    assert sum(asked) <= 6 * 9
