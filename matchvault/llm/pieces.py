@@ -51,25 +51,31 @@ class Pieces:
         sort = np.argsort(hashed)
         self.hash, self.id = hashed[sort], order[sort]
         rank = np.arange(1, len(order) + 1, dtype=np.float64)
-        self.weight = np.zeros(size)
+        self.weight = np.zeros(size + 1)  # the last for no piece, -1
         self.weight[order] = rank**-theta
         self.weight[self.byte] = float(len(order) + 256) ** -theta
         self.weight /= self.weight.sum()
+        top = (self.hash >> np.uint64(44)).astype(np.int64)
         self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.hash >> np.uint64(44)).astype(np.int64)] = True
+        self.filter[top] = True
+        self.begins = np.searchsorted(top, np.arange(1 << 20)).astype(np.int32)
+        self.most = int(np.bincount(top).max())
 
         single = {self.text[i] for i in normal if len(self.text[i]) == 1}
         self.ascii_byte = np.array([self.byte[b] if b < 128 and bytes([b]) not in single else -1 for b in range(256)], np.int32)
 
     def lookup(self, hashed):
         """The piece of each hash, or -1."""
-        out = np.full(hashed.shape, -1, np.int32)
-        some = np.flatnonzero(self.filter[(hashed.ravel() >> np.uint64(44)).astype(np.int64)])
-        value = hashed.ravel()[some]
-        at = np.minimum(np.searchsorted(self.hash, value), len(self.hash) - 1)
-        hit = self.hash[at] == value
-        out.ravel()[some[hit]] = self.id[at[hit]]
-        return out
+        out, flat = np.full(hashed.size, -1, np.int32), hashed.ravel()
+        some = np.flatnonzero(self.filter[(flat >> np.uint64(44)).astype(np.int64)])
+        value = flat[some]
+        at = self.begins[(value >> np.uint64(44)).astype(np.int64)]
+        # Few pieces share their leading bits; one that is met behind them is no other's.
+        for step in range(self.most):
+            hit = self.hash.take(at + step, mode="clip") == value
+            out[some[hit]] = self.id[at[hit] + step]
+            some, value, at = some[~hit], value[~hit], at[~hit]
+        return out.reshape(hashed.shape)
 
 
 def _spelled(pieces, data, running):
@@ -132,21 +138,25 @@ def _filtered(pieces, start, size, running, byte_piece):
     total[:, 0] = 1.0
     share = np.zeros((len(start), most + 1, reach), np.float32)
     piece = np.full((len(start), most + 1, reach), -1, np.int32)
+    # What ``span_hash`` reads, for all places of the chunks at once.
+    places = np.minimum(start[:, None] + np.arange(most + 1), len(running) - 1)
+    sums, inverse = running[places], kernels.powers(kernels.BASE_INVERSE, len(running))[places]
+    last = byte_piece[np.minimum(places, len(byte_piece) - 1)]
     for j in range(1, most + 1):
-        back = np.arange(1, min(j, reach) + 1)
+        # Last pieces of one byte, of two and so on, as places where they begin.
+        n = min(j, reach)
+        begin = slice(j - 1, j - 1 - n if j > n else None, -1)
         inside = size >= j
-        end = start + np.where(inside, j, 0)
-        begin = np.where(inside[:, None], end[:, None] - back, end[:, None])
-        found = pieces.lookup(kernels.span_hash(running, begin, np.broadcast_to(end[:, None], begin.shape)))
-        last = np.where(inside, byte_piece[np.maximum(end - 1, 0)], -1)
-        found[:, 0] = np.where(last >= 0, last, found[:, 0])
+        with np.errstate(over="ignore"):
+            found = pieces.lookup(kernels.mix((sums[:, j, None] - sums[:, begin]) * inverse[:, begin]))
+        found[:, 0] = np.where(last[:, j - 1] >= 0, last[:, j - 1], found[:, 0])
         found[~inside] = -1
-        weight = np.where(found >= 0, pieces.weight[found], 0.0) * total[:, j - back]
+        weight = pieces.weight[found] * total[:, begin]
         summed = np.cumsum(weight, axis=1)
         all_of = summed[:, -1]
-        share[:, j, : len(back)] = summed / np.where(all_of > 0, all_of, 1)[:, None]
-        share[:, j, len(back) :] = 1
-        piece[:, j, : len(back)] = found
+        share[:, j, :n] = summed / np.where(all_of > 0, all_of, 1)[:, None]
+        share[:, j, n:] = 1
+        piece[:, j, :n] = found
         total[:, j] = all_of
         low = (all_of > 0) & (all_of < TINY)
         if low.any():

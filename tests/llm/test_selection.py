@@ -114,6 +114,15 @@ def test_encoding_and_decoding_take_one_python_worker(spark, repeated):
     assert sorted(map(tuple, got)) == [(1, [], ""), (2, [], ""), (3, rows[2][1], "theé the")]
 
 
+def test_pieces_with_equal_leading_bits_are_found():
+    model = pieces.Pieces(pieces.MODEL, 1.0)
+    assert model.most > 1
+    asked = np.stack([model.hash, model.hash + np.uint64(1), model.hash - np.uint64(1)])
+    found = model.lookup(asked)
+    assert (found[0] == model.id).all() and (found[1:] == np.where(np.isin(asked[1:], model.hash), found[1:], -1)).all()
+    assert model.weight[-1] == 0 and (model.weight[model.id] > 0).all()
+
+
 def test_segmentations_are_drawn_in_proportion():
     model = pieces.Pieces(pieces.MODEL, 1.0)
     text, n = b"there", 20_000
