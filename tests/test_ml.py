@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from matchvault.operators import evaluate, kernel, ml
+from matchvault.operators import evaluate, kernel, ml, packed
 
 
 @pytest.fixture(scope="module")
@@ -135,3 +135,23 @@ def test_fourier_features_by_batch(spark):
     for r in step.transform(df.filter("x IS NOT NULL")).collect():
         assert np.allclose(r.z.toArray(), np.sqrt(2 / 5) * np.cos(w @ r.x.toArray() + b))
     assert step.transform(df.filter("x IS NULL")).select(vector_to_array("x")).count() == 1
+
+
+def test_kernel_machine_is_sparks_on_rows_of_some_bytes(spark, training):
+    """The same weights as a machine fitted on kept cosines, from blocks of 18 bytes a row instead of 32 doubles."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC
+
+    prepared = Pipeline(stages=ml.preprocessing(["x", "noise"], ["team"])).fit(training)
+    gamma, width = kernel.kernel_width(prepared.transform(training), "features")
+    cosines = kernel.FourierFeatures(inputCol="features", outputCol="cosines", gamma=gamma, width=width, dimensions=32)
+    machine = LinearSVC(featuresCol="cosines", maxIter=100, tol=1e-3, regParam=1 / 600, standardization=False)
+    shape = packed.Shape(prepared, ["x", "noise"], ["team"])
+    unseen = training.withColumn("team", F.when(F.col("id") % 7 > 0, F.col("team")))  # in no slot
+    with packed.packed(prepared, unseen, shape, "label") as (blocks, rows_):
+        assert rows_ == 600
+        assert blocks.selectExpr("sum(length(numbers) + length(codes) + length(labels))").first()[0] == 600 * (16 + 1 + 1)
+        found = kernel.fit_machine(machine, cosines, blocks, rows_, shape)
+    wanted = machine.fit(cosines.transform(prepared.transform(unseen)))
+    assert max(abs(found.coefficients.toArray() - wanted.coefficients.toArray())) < 1e-9
+    assert abs(found.intercept - wanted.intercept) < 1e-9
