@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from numpy.polynomial import chebyshev
 from pyspark import SparkContext, StorageLevel, keyword_only
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.common import _py2java
@@ -20,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
-from matchvault.operators.ml import SEED, kept_evenly, preprocessing, without_summary
+from matchvault.operators.ml import SEED, kept_evenly, prepare, without_summary
 from matchvault.operators.owlqn import minimum
 from matchvault.operators.packed import Shape, packed, summed
 
@@ -112,19 +112,22 @@ def kernel_width(df, vector):
     return (1.0 / (length * variance) if variance > 0 else 1.0), length
 
 
-def fit_kernel_svm(train, numeric, categorical, label="label", dimensions=128, inverse_penalty=1.0, seed=SEED):
+def fit_kernel_svm(
+    train, numeric, categorical, label="label", dimensions=128, inverse_penalty=1.0, seed=SEED, prepared=None
+):
     """Fitted pipeline whose ``probability`` is the margin turned by a logistic curve (Platt), for ``ml.score``.
 
     The curve is fitted on every fifth row, chosen by a hash of its values: those rows take no part in finding the
-    margin. Where either part lacks one of the labels, both steps use all rows.
+    margin. Where either part lacks one of the labels, both steps use all rows. With ``prepared``, the rows are already
+    kept evenly, and that is their preprocessing.
     """
+    if prepared is not None:
+        return _fitted(prepared, train, numeric, categorical, label, dimensions, inverse_penalty, seed)
     with kept_evenly(train.select(*dict.fromkeys([*numeric, *categorical, label]))) as kept:
-        prepared = Pipeline(stages=preprocessing(numeric, categorical)).fit(kept)
-        return fit_prepared(prepared, kept, numeric, categorical, label, dimensions, inverse_penalty, seed)
+        return _fitted(prepare(kept, numeric, categorical), kept, numeric, categorical, label, dimensions, inverse_penalty, seed)
 
 
-def fit_prepared(prepared, kept, numeric, categorical, label="label", dimensions=128, inverse_penalty=1.0, seed=SEED):
-    """``fit_kernel_svm`` on rows that are kept, with their fitted preprocessing."""
+def _fitted(prepared, kept, numeric, categorical, label, dimensions, inverse_penalty, seed):
     gamma, width = kernel_width(prepared.transform(kept), "features")
     cosines = FourierFeatures(
         inputCol="features", outputCol="cosines", seed=seed, gamma=gamma, width=width, dimensions=dimensions

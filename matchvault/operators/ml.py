@@ -3,7 +3,7 @@
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from matchvault.functions import decide
+from matchvault.operators import trees
 
 # Training settings the results are compared under.
 SEED = 17
@@ -19,6 +20,8 @@ DEPTH = 6
 PRODUCTION_THRESHOLD = 0.48
 TOP_FEATURES = 80
 ROWS_PER_TASK = 250_000
+# Boosted trees are grown by Spark up to here, where a level's fixed cost is most of it, and on packed blocks beyond.
+ROWS_IN_SPARK = 2_000_000
 
 
 def preprocessing(numeric, categorical):
@@ -107,15 +110,33 @@ def without_summary(model):
     return model
 
 
-def fit(train, numeric, categorical, classifier):
-    """Fitted pipeline; ``classifier`` may be a function of the number of training rows, or fit the rows itself."""
+def prepare(kept, numeric, categorical):
+    """The fitted preprocessing of rows that are kept, for several models of them."""
+    return Pipeline(stages=preprocessing(numeric, categorical)).fit(kept)
+
+
+def fit(train, numeric, categorical, classifier, prepared=None):
+    """Fitted pipeline; ``classifier`` may be a function of the number of training rows, or fit the rows itself.
+
+    With ``prepared``, the rows are already kept evenly, and that is their preprocessing.
+    """
     if hasattr(classifier, "fit_rows"):
         with kept_evenly(train) as kept:
             return classifier.fit_rows(kept, numeric, categorical)
     if callable(classifier):
         classifier = classifier(train.count())
+    if prepared is not None:
+        return _fitted(prepared, train, numeric, categorical, classifier)
     with kept_evenly(_read_by(classifier, train, [*numeric, *categorical])) as kept:
-        return without_summary(Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(kept))
+        return _fitted(prepare(kept, numeric, categorical), kept, numeric, categorical, classifier)
+
+
+def _fitted(prepared, kept, numeric, categorical, classifier):
+    if trees.grows(classifier) and kept.count() > ROWS_IN_SPARK:
+        model = trees.fit_prepared(prepared, kept, numeric, categorical, classifier)
+        if model is not None:
+            return PipelineModel(stages=[*prepared.stages, model])
+    return without_summary(Pipeline(stages=[*prepared.stages, classifier]).fit(kept))
 
 
 def score(model, df, threshold=PRODUCTION_THRESHOLD):

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from matchvault.operators import evaluate, kernel, ml, packed
+from matchvault.operators import evaluate, kernel, ml, packed, trees
 
 
 @pytest.fixture(scope="module")
@@ -155,3 +155,31 @@ def test_kernel_machine_is_sparks_on_rows_of_some_bytes(spark, training):
     wanted = machine.fit(cosines.transform(prepared.transform(unseen)))
     assert max(abs(found.coefficients.toArray() - wanted.coefficients.toArray())) < 1e-9
     assert abs(found.intercept - wanted.intercept) < 1e-9
+
+
+def test_packed_trees_are_sparks(spark, training, monkeypatch, tmp_path):
+    """Trees grown on packed blocks have the cuts, leaves, gains and scores of those that Spark grows on the vectors."""
+    numeric, categorical = ["x", "noise"], ["team"]
+    ours = training.withColumn("team", F.when(F.col("id") % 7 > 0, F.col("team")))
+    settings = dict(rounds=4, step=0.3)
+    with ml.kept_evenly(ours) as kept:
+        prepared = ml.prepare(kept, numeric, categorical)
+        wanted = ml.fit(kept, numeric, categorical, ml.boosted_trees(**settings).setMaxDepth(3), prepared)
+        monkeypatch.setattr(ml, "ROWS_IN_SPARK", 0)
+        monkeypatch.setattr(packed, "ROWS_PER_BLOCK", 50)
+        calls, grown = [], trees.fit_prepared
+        monkeypatch.setattr(trees, "fit_prepared", lambda *a: calls.append(1) or grown(*a))
+        found = ml.fit(kept, numeric, categorical, ml.boosted_trees(**settings).setMaxDepth(3), prepared)
+    assert calls and type(found.stages[-1]) is type(wanted.stages[-1])
+
+    def told(model):  # lines of cuts, and numbers of leaves to nine digits
+        lines = [line.split() for line in model.stages[-1].toDebugString.splitlines()[1:]]
+        return [[f"{float(v):.9g}" if words[0] == "Predict:" and i else v for i, v in enumerate(words)] for words in lines]
+
+    assert told(found) == told(wanted)
+    gains = [m.stages[-1].featureImportances.toArray() for m in (found, wanted)]
+    assert max(abs(gains[0] - gains[1])) < 1e-9
+    scores = [dict(ml.score(m, ours).select("id", "score").collect()) for m in (found, wanted)]
+    assert max(abs(scores[0][i] - scores[1][i]) for i in scores[1]) < 1e-9
+    found.write().overwrite().save(str(tmp_path / "model"))
+    assert rows(ml.score(PipelineModel.load(str(tmp_path / "model")), ours)) == rows(ml.score(found, ours))
